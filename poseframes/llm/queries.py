@@ -4,14 +4,26 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, language_id, token_counts
+from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, language_id, source_mix, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return source_mix.systematic_copies(docs).select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken")
+    )
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.learn(docs))
@@ -31,10 +43,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_source_mix": op2_source_mix,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op5_compression_bands": op5_compression_bands,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_source_mix": source_mix.ORACLE_SQL,
+}
