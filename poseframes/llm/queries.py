@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, language_id, source_mix, token_counts
+from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(_read(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_embedding_dedup": op3_embedding_dedup,
@@ -49,6 +53,7 @@ QUERIES = {
     "op5_compression_bands": op5_compression_bands,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
