@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, token_counts
+from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(_read(spark, sf_dir, "documents"), k=50)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return source_mix.systematic_copies(docs).select(
@@ -47,6 +51,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mix": op2_source_mix,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
