@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from poseframes.llm.common import small_batches, text_or_empty
+from poseframes.llm.common import small_batches
 
 ORDERS = (1, 2, 3, 4)
 #: n-grams share this many slots.
@@ -155,11 +155,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     model has learned no language. Repeated rows give repeated results, an empty table an empty one.
     """
 
+    at = keep.index(text) if text in keep else len(keep)
+
     def run(batches):
         for b in small_batches(batches):
-            names, scores = predict(model, b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*b.schema.names[:-1], "lang_pred", "score"])
+            names, scores = predict(model, [x or "" for x in b.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    rows = docs.select(*keep, text_or_empty(text).alias("_text"))
+    rows = docs.select(*keep, *([] if text in keep else [text]))
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")

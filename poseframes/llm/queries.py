@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts
+from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +38,15 @@ def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_bands.compression_bands(_read(spark, sf_dir, "documents"))
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc_fixity.audit(pages, warc_fixity.worn_replica(pages))
+
+
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialised(_read(spark, sf_dir, "documents"), key=20_240_917)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -56,6 +65,8 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op5_compression_bands": op5_compression_bands,
+    "op6_warc_fixity": op6_warc_fixity,
+    "op7_training_order": op7_training_order,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
@@ -63,4 +74,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_source_mix": source_mix.ORACLE_SQL,
+    "op6_warc_fixity": warc_fixity.ORACLE_SQL,
 }

@@ -331,9 +331,9 @@ def remove_repeats(docs: DataFrame, k: int = 50, text: str = "text", id_col: str
     """``docs`` with each text shortened. Characters that a span covers in part stay whole; null
     texts stay null, and texts of which nothing is left become empty."""
     found = repeated_spans(docs, k, text, id_col)
+    at = docs.columns.index(text)
 
     def shorten(batches):
-        at = found.columns.index(text)
         for b in batches:
             out = []
             for x, spans in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
