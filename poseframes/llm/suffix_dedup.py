@@ -26,14 +26,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from poseframes.llm.common import small_batches
 from poseframes.llm.run_length_index import RunLengthIndex
 
 #: Bytes of an anchor.
 ANCHOR = 20
 #: Segments that a task gathers before it packs them, and the most documents among them.
-CHUNK, CHUNK_DOCS = 1_500_000, 60_000
+CHUNK, CHUNK_DOCS = 500_000, 60_000
+#: Bytes that are hashed in one go.
+BLOCK_BYTES = 1 << 18
 #: Buckets of anchors for each shuffle partition, for hashes and for indexes.
-HASH_BUCKETS, INDEX_BUCKETS = 1, 4
+HASH_BUCKETS, INDEX_BUCKETS = 2, 6
 
 _BASE = 0xD6E8FEB86659FD93
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -70,12 +73,34 @@ def _hashes(data: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
 
 
 def segments(texts: list[bytes], k: int):
-    """Arrays of document number, start, number of strings, anchor hash and segment hash."""
+    """Arrays of document number, start, number of strings, anchor hash and segment hash.
+
+    Texts are taken in pieces and blocks of BLOCK_BYTES; segments end where pieces do."""
+    pieces = [(d, at, t[at : at + BLOCK_BYTES + k - 1]) for d, t in enumerate(texts) for at in range(0, len(t) - k + 1, BLOCK_BYTES)]
+    blocks, size = [], BLOCK_BYTES
+    for p in pieces:
+        if size + len(p[2]) > BLOCK_BYTES:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(p)
+        size += len(p[2])
+    found = [_NOTHING]
+    for block in blocks:
+        piece, start, n, anchor, seg = _segments([p[2] for p in block], k)
+        doc, base = (np.array(x, np.int64) for x in list(zip(*block))[:2])
+        found.append((doc[piece], start + base[piece], n, anchor, seg))
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(5))
+
+
+_NOTHING = (*(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64), np.empty(0, np.uint64))
+
+
+def _segments(texts: list[bytes], k: int):
+    """Of pieces in one go. A k-byte string belongs to a segment with those beside it that have the
+    same least hash of ANCHOR bytes."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     n, w = len(data) - k + 1, k - ANCHOR + 1
-    if n <= 0:
-        return (*(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64), np.empty(0, np.uint64))
     small, whole = _hashes(data, (ANCHOR, k))
     least, width = _mix(small), 1
     while 2 * width <= w:
@@ -158,16 +183,14 @@ def _send(batches, k: int, buckets: int):
         doc = np.concatenate([h[1][0] + b for h, b in zip(held, base)])
         return _pack(ids, doc, *(np.concatenate([h[1][i] for h in held]) for i in range(1, 5)), buckets)
 
-    for b in batches:
-        for at in range(0, b.num_rows, 500):
-            part = b.slice(at, 500)
-            found = segments([x.encode() for x in part.column(1).to_pylist()], k)
-            if len(found[0]):
-                held.append((part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), found))
-                count, docs = count + len(found[0]), docs + part.num_rows
-            if count >= CHUNK or docs >= CHUNK_DOCS - 500:
-                yield packed()
-                held, count, docs = [], 0, 0
+    for part in small_batches(batches, 500):
+        found = segments([x.encode() for x in part.column(1).to_pylist()], k)
+        if len(found[0]):
+            held.append((part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), found))
+            count, docs = count + len(found[0]), docs + part.num_rows
+        if count >= CHUNK or docs >= CHUNK_DOCS - 500:
+            yield packed()
+            held, count, docs = [], 0, 0
     if held:
         yield packed()
 
@@ -199,20 +222,18 @@ def _decide(table: pa.Table) -> pa.Table:
 
 def _owners(batches, k: int, text: str):
     """Texts of the owners' segments, with their anchor."""
-    for b in batches:
-        for at in range(0, b.num_rows, 500):
-            part = b.slice(at, 500)
-            wanted = [np.array([c for c in codes if c < 0], np.int64) ^ _OWNER if codes else () for codes in part.column("_codes").to_pylist()]
-            rows = np.flatnonzero([len(w) for w in wanted])
-            texts = [x.encode() for x in part.column(text).take(pa.array(rows)).to_pylist()]
-            doc, pos, size, anchor, seg = segments(texts, k)
-            code = _code(pos, size, seg)
-            cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
-            own = [lo + np.flatnonzero(np.isin(code[lo:hi], wanted[r])) for lo, hi, r in zip(cuts, cuts[1:], rows)]
-            own = np.concatenate(own) if own else np.empty(0, np.int64)
-            data = [texts[d][p : p + s + k - 1] for d, p, s in zip(doc[own], pos[own], size[own])]
-            ids = part.column("_id").take(pa.array(rows[doc[own]]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(code[own]), pa.array(anchor[own].view(np.int64)), pa.array(data, pa.binary())], names=["id", "code", "anchor", "data"])
+    for part in small_batches(batches, 500):
+        wanted = [np.array([c for c in codes if c < 0], np.int64) ^ _OWNER if codes else () for codes in part.column("_codes").to_pylist()]
+        rows = np.flatnonzero([len(w) for w in wanted])
+        texts = [x.encode() for x in part.column(text).take(pa.array(rows)).to_pylist()]
+        doc, pos, size, anchor, seg = segments(texts, k)
+        code = _code(pos, size, seg)
+        cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
+        own = [lo + np.flatnonzero(np.isin(code[lo:hi], wanted[r])) for lo, hi, r in zip(cuts, cuts[1:], rows)]
+        own = np.concatenate(own) if own else np.empty(0, np.int64)
+        data = [texts[d][p : p + s + k - 1] for d, p, s in zip(doc[own], pos[own], size[own])]
+        ids = part.column("_id").take(pa.array(rows[doc[own]]))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(code[own]), pa.array(anchor[own].view(np.int64)), pa.array(data, pa.binary())], names=["id", "code", "anchor", "data"])
 
 
 def _search(table: pa.Table, k: int) -> pa.Table:
@@ -249,14 +270,8 @@ def _spans(text: bytes, segs, removed, partly, k: int) -> list[int]:
     return edge.tolist()
 
 
-def repeated_spans(docs: DataFrame, k: int = 50, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """All rows and columns of ``docs`` and ``_spans``: starts and ends, in turn, of the maximal
-    runs of UTF-8 bytes covered by a k-byte string that also starts in a document with a smaller id.
-
-    A null text is empty. A row whose id is null loses nothing and takes nothing from others. Rows
-    that share an id lose nothing to each other. Texts under k bytes lose nothing. Extra columns are
-    carried along, an empty table gives an empty one. Ids must be integers.
-    """
+def _with_spans(docs: DataFrame, k: int, text: str, id_col: str, finish, schema: str) -> DataFrame:
+    """``finish`` of the rows of ``docs``, their texts as bytes and the spans that go."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.withColumn("_id", F.col(id_col).cast("long"))
     usable = rows.where(F.col("_id").isNotNull() & (F.length(text) > 0)).select("_id", text)
@@ -270,25 +285,44 @@ def repeated_spans(docs: DataFrame, k: int = 50, text: str = "text", id_col: str
     partly = found.groupBy(F.col("id").alias("_part_id")).agg(F.collect_list(F.struct("code", "bits")).alias("_partly"))
     joined = joined.join(partly, F.col("_id") == F.col("_part_id"), "left").drop("_part_id")
 
-    def spans(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                removed = [[c for c in codes if c >= 0] if codes else [] for codes in part.column("_codes").to_pylist()]
-                partly = part.column("_partly").to_pylist()
-                hit = [i for i in range(part.num_rows) if removed[i] or partly[i]]
-                texts = [x.encode() for x in part.column(text).take(pa.array(hit, pa.int64())).to_pylist()]
-                doc, pos, size, _, seg = segments(texts, k)
-                code = _code(pos, size, seg)
-                cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
-                out: list[list[int]] = [[] for _ in range(part.num_rows)]
-                for j, i in enumerate(hit):
-                    lo, hi = cuts[j], cuts[j + 1]
-                    out[i] = _spans(texts[j], (pos[lo:hi], size[lo:hi], code[lo:hi]), removed[i], [(x["code"], x["bits"]) for x in partly[i] or ()], k)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-3], pa.array(out, pa.list_(pa.int64()))], names=[*part.schema.names[:-3], "_spans"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.select(*docs.columns, "_id", "_codes", "_partly").mapInArrow(spans, f"{fields}, _spans array<long>")
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for b in small_batches(batches, 500):
+            codes, partly = b.column(len(docs_columns) + 1).to_pylist(), b.column(len(docs_columns) + 2).to_pylist()
+            removed = [[c for c in own if c >= 0] if own else [] for own in codes]
+            texts = [(x or "").encode() for x in b.column(at).to_pylist()]
+            hit = [i for i in range(b.num_rows) if removed[i] or partly[i]]
+            doc, pos, size, _, seg = segments([texts[i] for i in hit], k)
+            code = _code(pos, size, seg)
+            cuts = np.searchsorted(doc, np.arange(len(hit) + 1))
+            spans: list[list[int]] = [[] for _ in range(b.num_rows)]
+            for j, i in enumerate(hit):
+                lo, hi = cuts[j], cuts[j + 1]
+                spans[i] = _spans(texts[i], (pos[lo:hi], size[lo:hi], code[lo:hi]), removed[i], [(x["code"], x["bits"]) for x in partly[i] or ()], k)
+            yield finish(b.select(docs_columns), texts, spans)
+
+    docs_columns = docs.columns
+    return joined.select(*docs.columns, "_id", "_codes", "_partly").mapInArrow(run, schema)
+
+
+def _fields(docs: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+
+def repeated_spans(docs: DataFrame, k: int = 50, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """All rows and columns of ``docs`` and ``_spans``: starts and ends, in turn, of the maximal
+    runs of UTF-8 bytes covered by a k-byte string that also starts in a document with a smaller id.
+
+    A null text is empty. A row whose id is null loses nothing and takes nothing from others. Rows
+    that share an id lose nothing to each other. Texts under k bytes lose nothing. Extra columns are
+    carried along, an empty table gives an empty one. Ids must be integers.
+    """
+
+    def finish(rows: pa.RecordBatch, texts: list[bytes], spans: list[list[int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(spans, pa.list_(pa.int64()))], names=[*rows.schema.names, "_spans"])
+
+    return _with_spans(docs, k, text, id_col, finish, f"{_fields(docs)}, _spans array<long>")
 
 
 def kept_bytes(text: bytes, spans: list[int]) -> bytes:
@@ -311,36 +345,26 @@ def whole_characters(text: bytes, spans: list[int]) -> list[int]:
 
 
 def removal_digest(docs: DataFrame, k: int = 50, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (of the bytes that are left)."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    """Per row ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (of the bytes that are left);
+    cases are those of ``repeated_spans``."""
 
-    def digest(batches):
-        for b in batches:
-            rows = []
-            for x, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data = (x or "").encode()
-                rows.append((len(data), sum(spans[1::2]) - sum(spans[::2]), len(spans) // 2, hashlib.sha256(kept_bytes(data, spans)).hexdigest()))
-            n, removed, count, sha = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string())], names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+    def finish(rows: pa.RecordBatch, texts: list[bytes], spans: list[list[int]]) -> pa.RecordBatch:
+        sha = [hashlib.sha256(kept_bytes(t, s)).hexdigest() for t, s in zip(texts, spans)]
+        columns = [[len(t) for t in texts], [sum(s[1::2]) - sum(s[::2]) for s in spans], [len(s) // 2 for s in spans]]
+        return pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(c, pa.int64()) for c in columns), pa.array(sha, pa.string())], names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = repeated_spans(docs.select(id_col, text), k, text, id_col)
-    return found.mapInArrow(digest, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    docs = docs.select(id_col, text)
+    return _with_spans(docs, k, text, id_col, finish, f"{_fields(docs.select(id_col))}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, k: int = 50, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with each text shortened. Characters that a span covers in part stay whole; null
     texts stay null, and texts of which nothing is left become empty."""
-    found = repeated_spans(docs, k, text, id_col)
     at = docs.columns.index(text)
 
-    def shorten(batches):
-        for b in batches:
-            out = []
-            for x, spans in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
-                data = (x or "").encode()
-                out.append(x if x is None else kept_bytes(data, whole_characters(data, spans)).decode())
-            columns = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(b.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names[:-1])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return found.mapInArrow(shorten, fields)
+    def finish(rows: pa.RecordBatch, texts: list[bytes], spans: list[list[int]]) -> pa.RecordBatch:
+        left = [kept_bytes(t, whole_characters(t, s)).decode() for t, s in zip(texts, spans)]
+        shorter = pa.array(left, pa.string(), mask=rows.column(at).is_null().to_numpy(zero_copy_only=False))
+        return pa.RecordBatch.from_arrays([shorter if i == at else c for i, c in enumerate(rows.columns)], names=rows.schema.names)
+
+    return _with_spans(docs, k, text, id_col, finish, _fields(docs))
