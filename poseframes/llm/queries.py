@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
+from poseframes.llm.common import bound_batches
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
