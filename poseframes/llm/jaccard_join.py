@@ -9,8 +9,7 @@ many again as e + 1 and a few.
   least shared hash and a band of set sizes, cut into blocks of bounded size.
 * The token-group matrix has a row for each shared shingle and group with a member that has it.
 * A class asks only with the rarest of its sketch: of the first e + 1 shingles by document
-  frequency, those that any other class has. Most classes ask with none. What the classes of a
-  group ask is joined with the matrix once for all of them.
+  frequency, those that any other class has. Most classes ask with none.
 * For each class and group found, the overlap of the class's sketch with the group's union bounds
   its overlap with any member; only groups that qualify are opened, and members there are compared
   by their whole sets.
@@ -179,11 +178,10 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90, text: str
     blocks = some.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     some = some.join(blocks, ["key", "band"]).withColumn("grp", F.xxhash64("key", "band", F.pmod(F.xxhash64("digest"), "blocks"))).drop("blocks", "key")
     matrix = some.select("grp", "band", F.explode("tokens").alias("token")).distinct()
-    asked = some.select(F.col("grp").alias("by"), "band", F.explode("asks").alias("token")).distinct()
-    asked = asked.select("by", "token", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"))
-    opened = cut(asked.join(matrix, ["token", "band"]).select("by", "grp").distinct(), "opened")
+    asked = some.select("digest", "rep", "band", F.explode("asks").alias("token"))
+    asked = asked.select("digest", "rep", "token", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"))
+    asking = cut(asked.join(matrix, ["token", "band"]).select("digest", "rep", "grp").distinct(), "asking")
 
-    asking = some.where(F.size("asks") > 0).select("digest", "rep", F.col("grp").alias("by")).join(opened, "by").select("digest", "rep", "grp")
     parts = asking.groupBy("grp").agg(F.ceil(F.count("*") / ASKING).alias("parts"))
     asking = asking.join(parts, "grp").select("digest", "rep", "grp", F.pmod(F.xxhash64("digest"), "parts").alias("part"), F.lit(True).alias("asks"))
     members = some.select("digest", "rep", "grp").join(parts, "grp")
