@@ -11,26 +11,29 @@ the right half already has.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from poseframes.llm.common import ranks_of, small_batches, text_or_empty
 
 #: Bytes up to which a stretch is merged directly instead of by halves.
-LEAF_BYTES = 4
+LEAF_BYTES = 16
 #: Characters up to which a text is matched in one go.
 LEAF_CHARS = 1 << 14
 #: Token ids that one step of decoding joins.
 LEAF_IDS = 1 << 12
 #: Characters beside a seam on which a match may depend besides its own: a contraction has three.
 LOOK = 3
-#: Entries of each memo; a full one is emptied.
-MEMO = 400_000
+#: Entries of each memo. A full one is set aside as the older half, from which what is asked for
+#: again moves back; so what is common stays, and a worker keeps little between its tasks.
+MEMO, MEMO_PARTS = 200_000, 50_000
+
+_NONE = 1 << 62
 
 
 class ByteBPE:
@@ -40,31 +43,34 @@ class ByteBPE:
         self.ranks = ranks_of(path)
         self.bytes_of = dict(zip(self.ranks.values(), self.ranks, strict=True))
         self.pattern = regex.compile(pattern)
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._halves: dict[bytes, list[int]] = {}
-        self._packed = _Packed(self)
+        self._fits = _Memo(self._fits_anew, MEMO_PARTS)
+        self._halves = _Memo(self.merge, MEMO_PARTS)
+        self._packed = _Memo(self._pack, MEMO)
 
     def merge(self, data: bytes) -> list[int]:
         """The definition: join the neighbours of least rank, leftmost first, while any has one."""
-        ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+        rank = self.ranks.get
+        parts = [data[i : i + 1] for i in range(len(data))]
+        joint = [rank(data[i : i + 2], _NONE) for i in range(len(data) - 1)]
+        while joint:
+            least = min(joint)
+            if least == _NONE:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+            i = joint.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del joint[i]
+            if i < len(joint):
+                joint[i] = rank(parts[i] + parts[i + 1], _NONE)
+            if i:
+                joint[i - 1] = rank(parts[i - 1] + parts[i], _NONE)
+        return [self.ranks[p] for p in parts]
+
+    def _fits_anew(self, pair: int) -> bool:
+        a, b = pair >> 32, pair & 0xFFFFFFFF
+        return self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
 
     def fits(self, a: int, b: int) -> bool:
-        known = self._fits.get((a, b))
-        if known is None:
-            if len(self._fits) >= MEMO:
-                self._fits.clear()
-            known = self._fits[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return known
+        return self._fits[a << 32 | b]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of both."""
@@ -85,12 +91,7 @@ class ByteBPE:
     def encode_bytes(self, data: bytes) -> list[int]:
         """By halves; the halves of short stretches are remembered."""
         if len(data) <= LEAF_BYTES:
-            known = self._halves.get(data)
-            if known is None:
-                if len(self._halves) >= MEMO:
-                    self._halves.clear()
-                known = self._halves[data] = self.merge(data)
-            return known
+            return self._halves[data]
         half = len(data) // 2
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
@@ -98,7 +99,13 @@ class ByteBPE:
         """A match that is a token as a whole is that token."""
         data = match.encode()
         whole = self.ranks.get(data)
-        return self.encode_bytes(data) if whole is None else [whole]
+        if whole is not None:
+            return [whole]
+        return self.merge(data) if len(data) <= LEAF_BYTES else self.encode_bytes(data)
+
+    def _pack(self, match: str) -> bytes:
+        ids = self.encode_match(match)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def matches(self, text: str) -> list[str]:
         """What ``pattern.findall(text)`` gives, by halves."""
@@ -137,9 +144,8 @@ class ByteBPE:
 
     def encode_packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if len(self._packed) > MEMO:
-            self._packed.clear()
-        return b"".join([self._packed[m] for m in self.matches(text)])
+        packed = self._packed
+        return b"".join([packed[m] for m in self.matches(text)])
 
     def encode(self, text: str) -> list[int]:
         return unpack(self.encode_packed(text))
@@ -152,18 +158,21 @@ class ByteBPE:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-class _Packed(dict):
-    """Matches and their packed ids, made when first asked for."""
+class _Memo(dict):
+    """Results of a function, kept in two halves."""
 
-    def __init__(self, bpe: ByteBPE):
-        self.bpe = bpe
+    def __init__(self, make, most: int):
+        self.make, self.most, self.older = make, most, {}
 
-    def __missing__(self, match: str) -> bytes:
-        ids = self.bpe.encode_match(match)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(packed) < 256:
-            self[match] = packed
-        return packed
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 def unpack(packed: bytes) -> list[int]:
@@ -206,6 +215,15 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, id_col:
 
 
 def digest_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Encode, then decode, and keep digests of both (lowercase hex of SHA-256)."""
-    both = decode_documents(encode_documents(docs, ranks_path, pattern, text, id_col), ranks_path, pattern, id_col)
-    return both.select(id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Encode, then decode, and keep digests of both (lowercase hex of SHA-256), in one pass."""
+
+    def digest(batches):
+        bpe = encoder(ranks_path, pattern)
+        for b in small_batches(batches):
+            packed = [bpe.encode_packed(x) for x in b.column(1).to_pylist()]
+            decoded = [hashlib.sha256(bpe.decode(unpack(x))).hexdigest() for x in packed]
+            ids = [hashlib.sha256(x).hexdigest() for x in packed]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(id_col, text_or_empty(text).alias(text))
+    return rows.mapInArrow(digest, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
