@@ -25,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poseframes.llm.common import cut, small_batches, text_or_empty
@@ -84,6 +84,10 @@ def _digest(s: np.ndarray) -> bytes | None:
     return int(mixed).to_bytes(8, "little") + int(s.sum(dtype=np.uint64)).to_bytes(8, "little") + len(s).to_bytes(4, "little")
 
 
+def _tag() -> Column:
+    return F.hash("digest")
+
+
 def _sketches(rows: DataFrame, k: int, percent: int, kind: str) -> DataFrame:
     """``id, n, digest, sketch`` of a table ``id, text``."""
 
@@ -164,31 +168,32 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90, text: str
     sketches = cut(_sketches(rows, k, percent, kind), "sketches")
     classes = sketches.where(F.col("digest").isNotNull() & F.col("id").isNotNull()).groupBy("digest").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
 
-    tokens = classes.select("digest", "rep", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("token"))
+    # From here on a class is its id and a short tag, which tells apart the texts of one id.
+    classes = classes.withColumn("tag", _tag())
+    tokens = classes.select("rep", "tag", "n", F.explode("sketch").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    some = tokens.join(shared, "token").groupBy("digest").agg(
-        F.any_value("rep").alias("rep"), F.any_value("n").alias("n"), F.any_value("held").alias("held"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared")
-    )
+    some = tokens.join(shared, "token").groupBy("rep", "tag").agg(F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     first = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    asks = F.greatest(F.lit(0), F.least(first - (F.col("held") - F.size("shared")), F.size("shared"))).cast("int")
-    band = F.floor(F.log(F.col("n").cast("double")) / (1.000001 * math.log(100 / min(percent, 95))))
+    held = F.least(F.col("n"), F.floor(first * 3 / 2) + 6)  # sketch_size
+    asks = F.greatest(F.lit(0), F.least(first - (held - F.size("shared")), F.size("shared"))).cast("int")
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.000001 * math.log(100 / min(percent, 95)))).cast("int")
     tokens = F.col("shared")["token"]
-    some = cut(some.select("digest", "rep", "n", band.alias("band"), F.array_min(tokens).alias("key"), tokens.alias("tokens"), F.slice(tokens, F.lit(1), asks).alias("asks")), "shared")
+    some = cut(some.select("rep", "tag", band.alias("band"), F.array_min(tokens).alias("key"), tokens.alias("tokens"), F.slice(tokens, F.lit(1), asks).alias("asks")), "shared")
 
     blocks = some.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    some = some.join(blocks, ["key", "band"]).withColumn("grp", F.xxhash64("key", "band", F.pmod(F.xxhash64("digest"), "blocks"))).drop("blocks", "key")
-    matrix = some.select("grp", "band", F.explode("tokens").alias("token")).distinct()
-    asked = some.select("digest", "rep", "band", F.explode("asks").alias("token"))
-    asked = asked.select("digest", "rep", "token", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"))
-    asking = cut(asked.join(matrix, ["token", "band"]).select("digest", "rep", "grp").distinct(), "asking")
+    some = some.join(blocks, ["key", "band"]).withColumn("grp", F.xxhash64("key", "band", F.pmod(F.xxhash64("rep", "tag"), "blocks"))).drop("blocks", "key")
+    matrix = some.select("grp", F.col("band").alias("of"), F.explode("tokens").alias("token")).distinct()
+    asked = some.select("rep", "tag", "band", F.explode("asks").alias("token"))
+    near = F.abs(F.col("band") - F.col("of")) <= 1
+    asking = cut(asked.join(matrix, (asked["token"] == matrix["token"]) & near).select("rep", "tag", "grp").distinct(), "asking")
 
     parts = asking.groupBy("grp").agg(F.ceil(F.count("*") / ASKING).alias("parts"))
-    asking = asking.join(parts, "grp").select("digest", "rep", "grp", F.pmod(F.xxhash64("digest"), "parts").alias("part"), F.lit(True).alias("asks"))
-    members = some.select("digest", "rep", "grp").join(parts, "grp")
-    members = members.select("digest", "rep", "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"))
+    asking = asking.join(parts, "grp").select("rep", "tag", "grp", F.pmod(F.xxhash64("rep", "tag"), "parts").alias("part"), F.lit(True).alias("asks"))
+    members = some.select("rep", "tag", "grp").join(parts, "grp")
+    members = members.select("rep", "tag", "grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(False).alias("asks"))
     roles = cut(asking.unionByName(members), "roles")
     texts = rows.where(F.col("id").isNotNull()).join(roles.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    met = _packed_sets(texts, k, kind).join(roles, ["rep", "digest"])
+    met = _packed_sets(texts, k, kind).withColumn("tag", _tag()).drop("digest").join(roles, ["rep", "tag"])
     found = met.groupBy("grp", "part").applyInArrow(lambda table: _open_group(table, percent), f"a {kind}, b {kind}")
 
     component = connected_components(found, "a", "b")
