@@ -6,13 +6,14 @@ three integers a row, and no step after it shuffles again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from poseframes.params import MIN_SEGMENT_FRAMES, SMOOTH_WINDOW
 
-_CLIP = W.partitionBy("clip_id")
+def _clip() -> WindowSpec:
+    return W.partitionBy("clip_id")
 
 
 def by_clip(frames: DataFrame) -> DataFrame:
@@ -26,41 +27,41 @@ def median_smooth(frames: DataFrame, w: int = SMOOTH_WINDOW) -> DataFrame:
         raise ValueError("the window must be odd")
     if w < 3:
         return frames
-    order = _CLIP.orderBy("frame_idx")
+    order = _clip().orderBy("frame_idx")
     first, last = F.first("cluster_id").over(order), F.last("cluster_id").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     around = [F.coalesce(F.lag("cluster_id", -i).over(order), first if i < 0 else last) for i in range(-(w // 2), w // 2 + 1)]
     if w == 3:
         middle = around[0] + around[1] + around[2] - F.greatest(*around) - F.least(*around)
     else:
         middle = F.element_at(F.array_sort(F.array(*around)), w // 2 + 1)
-    return frames.withColumn("cluster_id", F.when(F.count("*").over(_CLIP) < w, F.col("cluster_id")).otherwise(middle))
+    return frames.withColumn("cluster_id", F.when(F.count("*").over(_clip()) < w, F.col("cluster_id")).otherwise(middle))
 
 
 def run_length(frames: DataFrame) -> DataFrame:
     """``clip_id, start, end, cluster_id, clip_end`` of the maximal runs; ends are exclusive."""
-    order = _CLIP.orderBy("frame_idx")
+    order = _clip().orderBy("frame_idx")
     new = F.coalesce((F.lag("cluster_id").over(order) != F.col("cluster_id")).cast("int"), F.lit(0))
     marked = frames.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order))
     runs = marked.groupBy("clip_id", "_run").agg(F.min("frame_idx").alias("start"), (F.max("frame_idx") + 1).alias("end"), F.any_value("cluster_id").alias("cluster_id"))
-    return runs.drop("_run").withColumn("clip_end", F.max("end").over(_CLIP))
+    return runs.drop("_run").withColumn("clip_end", F.max("end").over(_clip()))
 
 
 def drop_short_runs(runs: DataFrame, idle_id: int, least: int = MIN_SEGMENT_FRAMES) -> DataFrame:
     """Runs of ``least`` frames or more, idle ones at either end of the clip, and the only run of a
     clip. If that leaves none, the longest, the first among equals."""
-    order = _CLIP.orderBy("start")
-    n, pos = F.count("*").over(_CLIP), F.row_number().over(order)
+    order = _clip().orderBy("start")
+    n, pos = F.count("*").over(_clip()), F.row_number().over(order)
     size = F.col("end") - F.col("start")
     df = runs.withColumns({"_n": n, "_pos": pos, "_size": size})
     at_end = (F.col("cluster_id") == idle_id) & ((F.col("_pos") == 1) | (F.col("_pos") == F.col("_n")))
     df = df.withColumn("_keep", (F.col("_n") == 1) | (F.col("_size") >= least) | at_end)
-    df = df.withColumns({"_any": F.max("_keep").over(_CLIP), "_place": F.row_number().over(_CLIP.orderBy(F.col("_size").desc(), "start"))})
+    df = df.withColumns({"_any": F.max("_keep").over(_clip()), "_place": F.row_number().over(_clip().orderBy(F.col("_size").desc(), "start"))})
     return df.where(F.col("_keep") | (~F.col("_any") & (F.col("_place") == 1))).select(*runs.columns)
 
 
 def merge_adjacent_runs(runs: DataFrame) -> DataFrame:
     """Neighbours of one cluster become one run, from the first's start to the last's end."""
-    order = _CLIP.orderBy("start")
+    order = _clip().orderBy("start")
     new = F.coalesce((F.lag("cluster_id").over(order) != F.col("cluster_id")).cast("int"), F.lit(0))
     marked = runs.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order))
     merged = marked.groupBy("clip_id", "_run").agg(
@@ -72,7 +73,7 @@ def merge_adjacent_runs(runs: DataFrame) -> DataFrame:
 def stretch_runs(runs: DataFrame) -> DataFrame:
     """Each run from the end of the one before (as it was) to the start of the next (as it was), so
     a gap goes to both sides. ``pos`` numbers them from 0."""
-    order = _CLIP.orderBy("start")
+    order = _clip().orderBy("start")
     return runs.select(
         "clip_id", (F.row_number().over(order) - 1).alias("pos"), "cluster_id", F.coalesce(F.lag("end").over(order), F.lit(0).cast("long")).alias("start"),
         F.coalesce(F.lead("start").over(order), F.col("clip_end")).alias("end"),
@@ -85,7 +86,7 @@ def trim_to_idle(runs: DataFrame, idle_id: int, keep_all: bool = False) -> DataF
     if keep_all:
         return runs
     at = F.when(F.col("cluster_id") == idle_id, F.col("pos"))
-    df = runs.withColumns({"_n": F.count("*").over(_CLIP), "_idle": F.count(at).over(_CLIP), "_first": F.min(at).over(_CLIP), "_last": F.max(at).over(_CLIP)})
+    df = runs.withColumns({"_n": F.count("*").over(_clip()), "_idle": F.count(at).over(_clip()), "_first": F.min(at).over(_clip()), "_last": F.max(at).over(_clip())})
     early = F.col("_first") < F.col("_n") / 2
     keep = F.when(F.col("_idle") == 0, True).when(F.col("_idle") > 1, F.col("pos").between(F.col("_first"), F.col("_last"))).when(early, F.col("pos") >= F.col("_first")).otherwise(F.col("pos") <= F.col("_first"))
     return df.where(keep).select(*runs.columns)
