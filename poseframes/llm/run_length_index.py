@@ -108,7 +108,7 @@ class RunLengthIndex:
             row = self.targets[run] + row - self.heads[run]
             pos = pos - 1
             length = length + 1
-            row[gone], length[gone] = 0, 0
+            row[gone], pos[gone], length[gone] = 0, self.first[0], 0
             yield order[:lanes], sizes[:lanes] - 1 - step, length, row
 
     def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
