@@ -89,9 +89,11 @@ def joint_rotations(norm_xyz: Column) -> Column:
     fields = []
     for side, sho, elb, wri, hand in (("left", L_SHO, L_ELB, L_WRI, L_HAND), ("right", R_SHO, R_ELB, R_WRI, R_HAND)):
         upper, fore, palm = _bone(norm_xyz, sho, elb), _bone(norm_xyz, elb, wri), _bone(norm_xyz, hand, hand + 9)
+        # straight to the right without depth: the depth is minus zero, which atan2 here would drop
+        yaw = F.when((upper[2] == 0) & (upper[0] < 0), F.lit(-180.0)).otherwise(F.degrees(F.atan2(upper[2], upper[0])))
         bend = joint_angle(point(norm_xyz, sho), point(norm_xyz, elb), point(norm_xyz, wri))
         fields += [
-            F.struct(F.degrees(F.asin(_clip(upper[1]))).alias("pitch"), F.degrees(F.atan2(upper[2], upper[0])).alias("yaw"), direction(upper).alias("dir")).alias(f"{side}_shoulder"),
+            F.struct(F.degrees(F.asin(_clip(upper[1]))).alias("pitch"), yaw.alias("yaw"), direction(upper).alias("dir")).alias(f"{side}_shoulder"),
             F.struct((180.0 - bend).alias("flexion"), direction(fore).alias("dir")).alias(f"{side}_elbow"),
             F.struct(direction(palm).alias("dir")).alias(f"{side}_wrist"),
         ]
