@@ -180,11 +180,11 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90, text: str
     tokens = F.col("shared")["token"]
     some = cut(some.select("rep", "tag", band.alias("band"), F.array_min(tokens).alias("key"), tokens.alias("tokens"), F.slice(tokens, F.lit(1), asks).alias("asks")), "shared")
 
-    blocks = some.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = some.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.when(F.count("*") == 1, F.any_value("rep")).alias("sole"))
     some = some.join(blocks, ["key", "band"]).withColumn("grp", F.xxhash64("key", "band", F.pmod(F.xxhash64("rep", "tag"), "blocks"))).drop("blocks", "key")
-    matrix = some.select("grp", F.col("band").alias("of"), F.explode("tokens").alias("token")).distinct()
+    matrix = some.select("grp", F.col("band").alias("of"), "sole", F.explode("tokens").alias("token")).distinct()
     asked = some.select("rep", "tag", "band", F.explode("asks").alias("token"))
-    near = F.abs(F.col("band") - F.col("of")) <= 1
+    near = (F.abs(F.col("band") - F.col("of")) <= 1) & (F.col("sole").isNull() | (F.col("sole") != F.col("rep")))  # none asks itself
     asking = cut(asked.join(matrix, (asked["token"] == matrix["token"]) & near).select("rep", "tag", "grp").distinct(), "asking")
 
     parts = asking.groupBy("grp").agg(F.ceil(F.count("*") / ASKING).alias("parts"))
