@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -15,7 +16,7 @@ OWN = sorted(k for k in SQL if not k.startswith("op") and k != "pipeline")
 
 def rows(df):
     def plain(x):
-        if x is None or (isinstance(x, float) and np.isnan(x)):
+        if x is None or (np.isscalar(x) or x is pd.NA) and pd.isna(x):
             return None
         return round(float(x), 3) + 0.0 if isinstance(x, (int, float, np.number)) and not isinstance(x, (bool, np.bool_)) else str(x)
 
