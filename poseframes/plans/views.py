@@ -121,7 +121,7 @@ def _base(j: int, a: int, state: int) -> int:
 def keypoint_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``clip_id, frame_idx, n_frames, event_id, cluster_id, xyz, mask``."""
     fc = table(spark, sf_dir, "frame_clusters")
-    states = F.array(*(F.array(*(F.lit(_base(j, a, s)) for j in range(N_POINTS) for a in range(3))) for s in range(6)))
+    states = F.expr("array(" + ", ".join(f"array({', '.join(str(_base(j, a, s)) for j in range(N_POINTS) for a in range(3))})" for s in range(6)) + ")")
     e = F.col("event_id")
     source = F.array(*(F.lit(j if j <= 14 else 4 if j <= 35 else 5) for j in range(N_POINTS)))
 
