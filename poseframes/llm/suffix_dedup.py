@@ -10,7 +10,10 @@ bucket of its anchor. There,
 * equal segments are one, owned by their least document; the other documents lose theirs,
 * segments that differ but share an anchor may share a part of their strings: the owners' segments
   go to an index (``run_length_index``) that is built for a bucket of anchors. All of them are then
-  streamed through it, and a string is marked if a smaller document has a match of k bytes.
+  streamed through it, and a string is marked if a smaller document has a match of k bytes,
+* an anchor with more than HOT_FORMS owners' segments is not indexed in one place: each k-byte
+  string of them is dealt out by its own hash of 128 bits, and the least document of each is found
+  there. Equal strings still meet, and different surroundings of one anchor spread.
 
 Spans come back to the documents by id, and each row checks them against its own segments.
 """
@@ -24,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from poseframes.llm.common import small_batches
@@ -37,6 +41,8 @@ CHUNK, CHUNK_DOCS = 500_000, 60_000
 BLOCK_BYTES = 1 << 18
 #: Buckets of anchors for each shuffle partition, for hashes and for indexes.
 HASH_BUCKETS, INDEX_BUCKETS = 2, 6
+#: Owners' segments of one anchor that may share an index; it takes about 6 KB for each.
+HOT_FORMS = 4096
 
 _BASE = 0xD6E8FEB86659FD93
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -128,12 +134,14 @@ def _segments(texts: list[bytes], k: int):
 
 
 def _code(pos: np.ndarray, size: np.ndarray, seg: np.ndarray) -> np.ndarray:
-    """Place, size and a part of the hash of a segment in 63 bits."""
+    """Place, size and a part of the hash of a segment in 62 bits: texts are shorter than 2^31 bytes."""
     return (pos.astype(np.int64) << 31) | (size.astype(np.int64) << 25) | (seg >> np.uint64(39)).astype(np.int64)
 
 
 #: The sign of a code: the segment is an owner's and has to be looked up; else it goes.
 _OWNER = np.int64(-1 << 63)
+#: In an owner's code: its anchor has more than HOT_FORMS of them.
+_HOT = np.int64(1 << 62)
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
@@ -198,8 +206,9 @@ def _send(batches, k: int, buckets: int):
 _MARKS = pa.schema([("id", pa.int64()), ("code", pa.int64())])
 
 
-def _decide(table: pa.Table) -> pa.Table:
-    """Segments of a bucket that go, and owners' segments that need the index."""
+def _decide(table: pa.Table, hot: int) -> pa.Table:
+    """Segments of a bucket that go, and owners' segments that need the index or, if their anchor
+    has more than ``hot`` of them, have their strings dealt out."""
     parts = [_unpack(*row) for row in zip(*(table[c].to_pylist() for c in ("n", "ids", "hashes", "places")), strict=True)]
     doc, pos, size, anchor, seg = (np.concatenate([p[i] for p in parts]) for i in range(5))
     known = size >= 128
@@ -215,22 +224,37 @@ def _decide(table: pa.Table) -> pa.Table:
         many_docs = (np.minimum.reduceat(doc, at_a) != np.maximum.reduceat(doc, at_a))[in_a]
         many_forms = (np.add.reduceat(new_s.astype(np.int64), at_a) > 1)[in_a]
         later = doc > doc[at_s][in_s]
-        for chosen, sign in ((later, 0), (many_docs & many_forms & ~later, _OWNER)):
+        looked = many_docs & many_forms & ~later
+        busy = (np.add.reduceat(looked.astype(np.int64), at_a) > hot)[in_a]
+        for chosen, sign in ((later, 0), (looked & ~busy, _OWNER), (looked & busy, _OWNER | _HOT)):
             out.append((doc[chosen], _code(pos[chosen], size[chosen].astype(np.int64), seg[chosen]) | sign))
     return pa.table([pa.array(np.concatenate([o[i] for o in out]), f.type) for i, f in enumerate(_MARKS)], schema=_MARKS)
 
 
-def _owners(batches, k: int, text: str):
-    """Texts of the owners' segments, with their anchor."""
+def _owners(batches, k: int, text: str, hot: bool):
+    """Texts of the owners' segments, with their anchor; of ``hot`` ones the digest of each string,
+    with its place in the segment."""
+    import xxhash
+
+    flag, low = int(_HOT), int(_HOT) - 1
     for part in small_batches(batches, 500):
-        wanted = [np.array([c for c in codes if c < 0], np.int64) ^ _OWNER if codes else () for codes in part.column("_codes").to_pylist()]
+        wanted = [np.array([c & low for c in codes if c < 0 and bool(c & flag) == hot], np.int64) if codes else () for codes in part.column("_codes").to_pylist()]
         rows = np.flatnonzero([len(w) for w in wanted])
+        if not len(rows):
+            continue
         texts = [x.encode() for x in part.column(text).take(pa.array(rows)).to_pylist()]
         doc, pos, size, anchor, seg = segments(texts, k)
         code = _code(pos, size, seg)
         cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
         own = [lo + np.flatnonzero(np.isin(code[lo:hi], wanted[r])) for lo, hi, r in zip(cuts, cuts[1:], rows)]
-        own = np.concatenate(own) if own else np.empty(0, np.int64)
+        own = np.concatenate(own)
+        if hot:
+            nth = np.repeat(np.arange(len(own)), size[own])
+            at = np.arange(len(nth)) - np.repeat(np.cumsum(size[own]) - size[own], size[own])
+            strings = [xxhash.xxh3_128_digest(texts[d][p : p + k]) for d, p in zip(doc[own][nth], pos[own][nth] + at)]
+            ids = part.column("_id").take(pa.array(rows[doc[own]][nth]))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(code[own][nth]), pa.array(at.astype(np.int32)), pa.array(strings, pa.binary())], names=["id", "code", "at", "string"])
+            continue
         data = [texts[d][p : p + s + k - 1] for d, p, s in zip(doc[own], pos[own], size[own])]
         ids = part.column("_id").take(pa.array(rows[doc[own]]))
         yield pa.RecordBatch.from_arrays([ids, pa.array(code[own]), pa.array(anchor[own].view(np.int64)), pa.array(data, pa.binary())], names=["id", "code", "anchor", "data"])
@@ -276,12 +300,17 @@ def _with_spans(docs: DataFrame, k: int, text: str, id_col: str, finish, schema:
     rows = docs.withColumn("_id", F.col(id_col).cast("long"))
     usable = rows.where(F.col("_id").isNotNull() & (F.length(text) > 0)).select("_id", text)
     sent = usable.mapInArrow(partial(_send, k=k, buckets=HASH_BUCKETS * partitions), "bucket int, n long, ids binary, hashes binary, places binary")
-    marks = sent.groupBy("bucket").applyInArrow(_decide, "id long, code long")
+    hot = HOT_FORMS
+    marks = sent.groupBy("bucket").applyInArrow(lambda t: _decide(t, hot), "id long, code long")
     codes = marks.groupBy(F.col("id").alias("_mark_id")).agg(F.collect_list("code").alias("_codes"))
-    # Read twice below, with the same columns, so that texts and marks are shuffled once.
+    # Read three times below, with the same columns, so that texts and marks are shuffled once.
     joined = rows.join(codes, F.col("_id") == F.col("_mark_id"), "left").drop("_mark_id")
-    owners = joined.mapInArrow(partial(_owners, k=k, text=text), "id long, code long, anchor long, data binary")
+    owners = joined.mapInArrow(partial(_owners, k=k, text=text, hot=False), "id long, code long, anchor long, data binary")
     found = owners.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(INDEX_BUCKETS * partitions)).alias("bucket")).applyInArrow(lambda t: _search(t, k), "id long, code long, bits long")
+    # A window, not a join: rows of one string stream through it and spill if there are many.
+    strings = joined.mapInArrow(partial(_owners, k=k, text=text, hot=True), "id long, code long, at int, string binary")
+    later = strings.withColumn("least", F.min("id").over(W.partitionBy("string"))).where("least < id")
+    found = found.unionByName(later.groupBy("id", "code").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits")))
     partly = found.groupBy(F.col("id").alias("_part_id")).agg(F.collect_list(F.struct("code", "bits")).alias("_partly"))
     joined = joined.join(partly, F.col("_id") == F.col("_part_id"), "left").drop("_part_id")
 

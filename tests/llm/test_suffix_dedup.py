@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from poseframes.llm import suffix_dedup as S
 from poseframes.llm.run_length_index import RunLengthIndex
@@ -78,3 +79,32 @@ def test_shortened_texts_are_whole_characters(spark):
     df = spark.createDataFrame([(1, a, "x"), (2, "ü" + a + "q", "x"), (3, None, "x")], "doc_id int, text string, _spans string")
     got = {r["doc_id"]: r["text"] for r in S.remove_repeats(df).collect()}
     assert got == {1: a, 2: "üq", 3: None}
+
+
+def around_one_anchor(n=60):
+    """Documents that hold one phrase between neighbours of which some recur."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 7)))
+    left, right = ([" ".join(word() for _ in range(12)) for _ in range(7)] for _ in range(2))
+    phrase = "the very phrase that everybody has"
+    return [(i, f"{rng.choice(left) if rng.random() < 0.5 else word() * 9} {phrase} {rng.choice(right) if rng.random() < 0.5 else word() * 9}") for i in range(n)]
+
+
+def test_forms_of_a_hot_anchor_are_not_indexed_together():
+    rows = around_one_anchor()
+    docs = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["_id", "text"])
+    marks = S._decide(pa.Table.from_batches(list(S._send([docs], 50, 1))), 5).to_pylist()
+    codes = [[m["code"] for m in marks if m["id"] == i] for i, _ in rows]
+    with_codes = docs.append_column("_codes", pa.array(codes, pa.list_(pa.int64())))
+    indexed = [a for b in S._owners([with_codes], 50, "text", False) for a in b.column("anchor").to_pylist()]
+    dealt = [x for b in S._owners([with_codes], 50, "text", True) for x in b.column("string").to_pylist()]
+    assert max(map(indexed.count, set(indexed)), default=0) <= 5 and len(dealt) > 60
+    everything = S._decide(pa.Table.from_batches(list(S._send([docs], 50, 1))), 10**9).to_pylist()
+    assert sum(m["code"] < 0 for m in everything) == sum(m["code"] < 0 for m in marks)  # none is left out
+
+
+def test_hot_anchors_equal_brute_force(spark, monkeypatch):
+    rows = around_one_anchor() + [(70, around_one_anchor()[3][1]), (70, around_one_anchor()[4][1] + "x"), (None, around_one_anchor()[5][1])]
+    for bound in (0, 5):
+        monkeypatch.setattr(S, "HOT_FORMS", bound)
+        assert run(spark, rows) == brute(rows)
