@@ -115,8 +115,11 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, text: str = "text",
     made = rows.mapInArrow(records, "slot long, record binary")
     shard = F.floor(F.col("slot") / PER_SHARD)
     width = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PER_SHARD)))
-    placed = made.repartition(width, shard).sortWithinPartitions("slot").mapInArrow(whole, "slot long, record binary")
-    placed.select(shard.alias("shard"), F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(folder)
+    placed = made.repartition(width, shard).mapInArrow(whole, "slot long, record binary")
+    # Places in a file are slots. The writer needs rows by shard; this order spares it a sort of its
+    # own, which would keep the slots of a shard in order only as long as it does not spill.
+    placed = placed.select(shard.alias("shard"), "slot", F.col("record").cast("string").alias("value")).sortWithinPartitions("shard", "slot")
+    placed.select("shard", "value").write.partitionBy("shard").option("lineSep", "\n").text(folder)
     return total
 
 

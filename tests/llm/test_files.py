@@ -54,3 +54,21 @@ def test_shards_hold_every_sequence(spark, tmp_path, monkeypatch):
 
 def test_no_text_no_shards(spark):
     assert O.materialised(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect() == []
+
+
+def test_slots_are_in_place_when_tasks_spill(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(O, "PER_SHARD", 256)
+    path, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(i, f"{i} " * 700) for i in range(700)], "doc_id long, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert docs.rdd.getNumPartitions() == 1
+    conf, key = spark._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    conf.set(key, "100")
+    try:
+        n = O.write_shards(docs, folder, key=5)
+    finally:
+        conf.remove(key)
+    order = [(r["doc_id"], p) for r in docs.collect() for p in range(-(-len(r["text"]) // 512))]
+    want = dict(zip(order, O.slots(np.arange(n), n, 5).tolist(), strict=True))
+    got = {(r["doc_id"], r["part"]): r["slot"] for r in O.read_shards(spark, folder).collect()}
+    assert n > 8 * 256 and got == want
