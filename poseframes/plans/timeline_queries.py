@@ -181,6 +181,28 @@ def _(spark, sf):
     return B.playback_pose(_at(spark, sf), poses).select("clip_id", "step", "word", check("pose", 3).alias("pose_check"))
 
 
+# The three above run on the 20 places of their SQL; these on all the places of the scrub bar.
+def _at_all(spark, sf):
+    w = words(spark, sf)
+    return B.pose_at_time(B.playback_grid(w), w)
+
+
+@query("F13_playback_grid_whole")
+def _(spark, sf):
+    return B.playback_grid(words(spark, sf))
+
+
+@query("J7_pose_at_time_whole")
+def _(spark, sf):
+    return _at_all(spark, sf).select("clip_id", "step", "word", "next_word", "weight")
+
+
+@query("F12_playback_pose_whole")
+def _(spark, sf):
+    poses = _poses(spark, sf).join(table(spark, sf, "cluster_names"), "cluster_id").select("name", "average_pose")
+    return B.playback_pose(_at_all(spark, sf), poses).select("clip_id", "step", "word", "pose")
+
+
 _FPS = "CASE clip_id % 5 WHEN 0 THEN 25.0 WHEN 1 THEN 30.0 WHEN 2 THEN 29.97 WHEN 3 THEN 25.0 ELSE 5.0 END::DOUBLE"
 
 
