@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from poseframes.functions import geometry as G
 from poseframes.functions import naming as N
 from poseframes.operators import clusters as K
-from poseframes.params import MAX_FRAMES_FOR_FIT, N_POINTS
+from poseframes.params import MAX_FRAMES_FOR_FIT, N_POINTS, SILHOUETTE_SAMPLE
 from poseframes.plans.frame_queries import _BASE_NAME, _DESCRIBE, _IDLE, check, normalised
 from poseframes.plans.scratch import new_folder
 from poseframes.plans.views import POINTS, table, with_views
@@ -26,6 +27,13 @@ def query(name: str, sql: str | None = None, more: list[tuple[str, str]] = [], v
     return keep
 
 
+def _stored(spark, df, label):
+    """``df`` written and read again, so that it is not computed twice."""
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def _flags(spark, sf):
     return K.edge_flags(table(spark, sf, "frame_clusters"))
 
@@ -91,11 +99,17 @@ def _(spark, sf):
     return spark.createDataFrame([(K.silhouette(rows, "embedding", "label"),)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
+@query("A6_silhouette_sampled")
+def _(spark, sf):
+    """Of a sample of all rows; the query above has the first rows, as its SQL has."""
+    rows = K.fit_sample(table(spark, sf, "embeddings"), SILHOUETTE_SAMPLE, ["vec_id"])
+    return spark.createDataFrame([(K.silhouette(rows, "embedding", "label"),)], "silhouette double")
+
+
 @query("A5_fit_kmeans")
 def _(spark, sf):
     e = table(spark, sf, "embeddings")
-    scaled = K.scale(e, K.fit_scaler(e, "embedding"), "embedding")
-    return K.fit_kmeans(scaled, 10)
+    return K.fit(K.scale(e, K.fit_scaler(e, "embedding"), "embedding"), ["vec_id"])[0]
 
 
 @query("A7_pick_k", "SELECT k, score FROM scores ORDER BY score DESC, k LIMIT 1", [("scores", "SELECT CAST(12 + 6 * (user_id % 9) AS INT) AS k, round(avg(value), 1) AS score FROM events GROUP BY user_id % 9")], [])
@@ -107,7 +121,7 @@ def _(spark, sf):
 @query("A7_sweep_k")
 def _(spark, sf):
     e = table(spark, sf, "embeddings")
-    return K.sweep_k(K.scale(e, K.fit_scaler(e, "embedding"), "embedding"), ["vec_id"], k_range=(6, 14))
+    return K.sweep_k(K.scale(e, K.fit_scaler(e, "embedding"), "embedding"), ["vec_id"])
 
 
 @query("O3_fit_sample", f"SELECT least(count(*), {MAX_FRAMES_FOR_FIT}) AS n, least(count(*), 300) AS n_small, true AS distinct_rows FROM frame_clusters")
@@ -159,6 +173,21 @@ def _(spark, sf):
     return K.fit_summary(table(spark, sf, "frame_clusters"), fitted, N.unique_cluster_names(c, N.choose_idle(c)))
 
 
+@query("A12_fit_summary_fitted")
+def _(spark, sf):
+    """Of clusters that are fitted to the frames' descriptors, k chosen; the query above has the
+    table's clusters and a given k, as its SQL has."""
+    frames = normalised(spark, sf).select("clip_id", "frame_idx", "n_frames", "norm", G.descriptor(F.col("norm")).alias("descriptor"))
+    scaled = _stored(spark, K.scale(frames, K.fit_scaler(frames, "descriptor"), "descriptor").drop("descriptor"), "scaled")
+    centers, fitted = K.fit(scaled, ["clip_id", "frame_idx"])
+    assigned = _stored(spark, K.edge_flags(K.assign_clusters(scaled, centers, "scaled").drop("scaled")), "assigned")
+    ids = centers.select("cluster_id")
+    d = K.cluster_mean_pose(assigned, ids, "norm", 3 * N_POINTS).withColumn("description", N.describe_pose(F.col("average_pose")))
+    d = d.withColumns({"base": N.base_pose_name(F.col("description")), "looks_idle": N.is_idle_pose(F.col("description"))})
+    c = _stored(spark, K.cluster_stats(assigned, ids).join(d, "cluster_id"), "candidates")
+    return K.fit_summary(assigned, fitted, N.unique_cluster_names(c, N.choose_idle(c)))
+
+
 def pose_map(spark, sf):
     stats, d, c = _candidates(spark, sf)
     f = table(spark, sf, "frame_clusters").join(table(spark, sf, "clips").select("clip_id", "label"), "clip_id")
