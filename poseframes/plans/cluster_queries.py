@@ -177,7 +177,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Of clusters that are fitted to the frames' descriptors, k chosen; the query above has the
     table's clusters and a given k, as its SQL has."""
-    frames = normalised(spark, sf).select("clip_id", "frame_idx", "n_frames", "norm", G.descriptor(F.col("norm")).alias("descriptor"))
+    frames = normalised(spark, sf, "norm", "descriptor").select("clip_id", "frame_idx", "n_frames", "norm", "descriptor")
     scaled = _stored(spark, K.scale(frames, K.fit_scaler(frames, "descriptor"), "descriptor").drop("descriptor"), "scaled")
     centers, fitted = K.fit(scaled, ["clip_id", "frame_idx"])
     assigned = _stored(spark, K.edge_flags(K.assign_clusters(scaled, centers, "scaled").drop("scaled")), "assigned")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from poseframes.functions import geometry as G
 from poseframes.functions import naming as N
 from poseframes.operators import landmarks as L
+from poseframes.operators.features import frame_features, weighted_sum
 from poseframes.params import L_HAND, NOSE, R_HAND
 from poseframes.plans.scratch import new_folder
 from poseframes.plans.views import POINTS, keypoint_frames, raw_landmarks, table, with_views
@@ -28,18 +29,16 @@ def query(name: str, sql: str | None = None, more: list[tuple[str, str]] = POINT
 
 def check(xyz: Column | str, digits: int = 4) -> Column:
     """A number that depends on every coordinate and its place."""
-    xyz = F.col(xyz) if isinstance(xyz, str) else xyz
-    return F.round(F.aggregate(F.transform(xyz, lambda v, i: (i + 1) * v), F.lit(0.0), lambda a, b: a + b), digits)
+    return F.round(weighted_sum(xyz), digits)
 
 
 _CHECK = "round(sum((3 * j + 1) * x + (3 * j + 2) * y + (3 * j + 3) * z), 4)"
 _KEY = ["clip_id", "frame_idx"]
 
 
-def normalised(spark, sf):
-    """Frames with ``filled`` and ``norm`` coordinates."""
-    f = keypoint_frames(spark, sf).withColumn("filled", G.fill_missing_hands(F.col("xyz"), F.col("mask")))
-    return f.withColumn("_c", G.center_and_scale(F.col("filled"))).withColumn("norm", G.recenter(F.col("filled"), F.col("_c"))).drop("_c")
+def normalised(spark, sf, *wanted: str):
+    """Frames with ``norm`` coordinates, or with what else is wanted of them."""
+    return frame_features(keypoint_frames(spark, sf), *(wanted or ("norm",)))
 
 
 # Normalised points of a frame side by side in the other engine.
@@ -116,7 +115,7 @@ def _(spark, sf):
 
 @query("F1_fill_missing_hands", f"SELECT clip_id, frame_idx, {_CHECK} AS xyz_check FROM filled GROUP BY clip_id, frame_idx")
 def _(spark, sf):
-    return normalised(spark, sf).select(*_KEY, check("filled").alias("xyz_check"))
+    return normalised(spark, sf, "filled").select(*_KEY, check("filled").alias("xyz_check"))
 
 
 @query("F2_normalize_pose", "SELECT clip_id, frame_idx, ck AS norm_check, round(x4, 6) AS left_wrist_x, round(y5, 6) AS right_wrist_y, round(z14, 6) AS nose_z FROM wide", _WIDE)
@@ -138,8 +137,8 @@ def _(spark, sf):
 
 @query("F5_descriptor", "SELECT clip_id, frame_idx, 178 AS n, round(raw_ck + " + " + ".join(f"{172 + i} * (({f}) / 45)" for i, f in enumerate(_FEATURES)) + ", 3) AS desc_check FROM wide", _WIDE)
 def _(spark, sf):
-    df = normalised(spark, sf).withColumn("d", G.descriptor(F.col("norm")))
-    return df.select(*_KEY, F.size("d").alias("n"), check("d", 3).alias("desc_check"))
+    df = normalised(spark, sf, "descriptor")
+    return df.select(*_KEY, F.size("descriptor").alias("n"), check("descriptor", 3).alias("desc_check"))
 
 
 def _bone(a: int, b: int) -> list[str]:
@@ -235,7 +234,7 @@ _STORED = f"SELECT c.clip_id, c.label, round(c.fps::DOUBLE, 6) AS fps, c.source,
 
 
 def _stored(clips, frames):
-    per = frames.groupBy("clip_id").agg(F.count("*").alias("n_frames"), F.sum(F.aggregate(F.transform("xyz", lambda v, i: (i + 1) * v.cast("double")), F.lit(0.0), lambda a, b: a + b)).alias("s"), F.sum(F.size(F.filter("mask", lambda m: m))).alias("n_ok"))
+    per = frames.groupBy("clip_id").agg(F.count("*").alias("n_frames"), F.sum(weighted_sum(F.col("xyz").cast("array<double>"))).alias("s"), F.sum(F.size(F.filter("mask", lambda m: m))).alias("n_ok"))
     return clips.drop("n_frames").join(per, "clip_id").select("clip_id", "label", F.round(F.col("fps").cast("double"), 6).alias("fps"), "source", "n_frames", F.round("s", 0).alias("xyz_check"), "n_ok")
 
 

@@ -6,9 +6,12 @@ other engine, from the same rule.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poseframes.operators.features import lists
 from poseframes.params import N_POINTS
 
 VIEWS = {
@@ -118,22 +121,32 @@ def _base(j: int, a: int, state: int) -> int:
     return wrist + ((j - (15 if j <= 35 else 36)) * 17 + a * 29) % 61 - 30
 
 
-def keypoint_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``clip_id, frame_idx, n_frames, event_id, cluster_id, xyz, mask``."""
-    fc = table(spark, sf_dir, "frame_clusters")
-    states = F.expr("array(" + ", ".join(f"array({', '.join(str(_base(j, a, s)) for j in range(N_POINTS) for a in range(3))})" for s in range(6)) + ")")
-    e = F.col("event_id")
-    source = F.array(*(F.lit(j if j <= 14 else 4 if j <= 35 else 5) for j in range(N_POINTS)))
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of ids over all cores. Adaptive execution would fold the few bytes of the window's shuffle
+    into one task, and all that is made of a row would follow it there."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
-    def value(v, i):
-        j, a = F.floor(i / 3).cast("int"), i % 3
-        jitter = F.when(j < 2, 0).otherwise((e * 31 + F.get(source, j) * 7 + a * 13) % 41 - 20)
-        gone = (j.between(15, 35) & (e % 4 == 0)) | ((j >= 36) & (e % 5 == 0))
-        return F.when(gone, 0.0).otherwise((v + jitter) / F.lit(1000.0))
 
-    body = F.transform(F.sequence(F.lit(0), F.lit(14)), lambda j: (e * 13 + j * 37) % 100 >= 30)
-    mask = F.concat(body, F.array_repeat(e % 4 != 0, 21), F.array_repeat(e % 5 != 0, 21))
-    return fc.withColumns({"xyz": F.transform(F.get(states, F.col("cluster_id")), value), "mask": mask})
+def keypoint_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``clip_id, frame_idx, n_frames, event_id, cluster_id, xyz, mask``."""
+    fc = _spread(table(spark, sf_dir, "frame_clusters"))
+    states = np.array([[_base(j, a, s) for j in range(N_POINTS) for a in range(3)] for s in range(6)])
+    joint, axis = np.divmod(np.arange(3 * N_POINTS), 3)
+    source = np.where(joint <= 14, joint, np.where(joint <= 35, 4, 5))
+    at = [fc.columns.index(c) for c in ("event_id", "cluster_id")]
+
+    def run(batches):
+        for b in batches:
+            e, state = (b.column(i).to_numpy() for i in at)
+            jitter = np.where(joint < 2, 0, (e[:, None] * 31 + source * 7 + axis * 13) % 41 - 20)
+            ok = np.hstack([(e[:, None] * 13 + np.arange(15) * 37) % 100 >= 30, np.repeat([e % 4 != 0], 21, 0).T, np.repeat([e % 5 != 0], 21, 0).T])
+            gone = (joint >= 15) & ~ok[:, joint]
+            xyz = np.where(gone, 0.0, (states[state] + jitter) / 1000.0)
+            every = np.ones(len(e), bool)
+            yield pa.RecordBatch.from_arrays([*b.columns, lists(xyz, every), lists(ok, every)], names=[*b.schema.names, "xyz", "mask"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fc.schema.fields)
+    return fc.mapInArrow(run, f"{kinds}, xyz array<double>, mask array<boolean>")
 
 
 def raw_landmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
