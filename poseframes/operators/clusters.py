@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from poseframes.operators.features import lists, matrix
 from poseframes.params import EDGE_FRAC, K_RANGE, K_SAMPLE, K_STEPS, MAX_FRAMES_FOR_FIT, SEED, SILHOUETTE_SAMPLE, TOP_SIGN_FRAMES, TOP_SIGNS
 
+#: Centroids that may go to the tasks as one matrix; a fit has at most a few dozen (see K_RANGE).
+MAX_CENTROIDS = 10_000
+
 
 def edge_flags(frames: DataFrame) -> DataFrame:
     """``edge`` for the first and last frames of each clip; ``n_frames`` is the clip's length."""
@@ -31,12 +38,30 @@ def fit_scaler(vectors: DataFrame, column: str) -> DataFrame:
 def scale(vectors: DataFrame, scaler: DataFrame, column: str, out: str = "scaled") -> DataFrame:
     """``column`` with mean 0 and deviation 1; the scaler is one row."""
     df = vectors.crossJoin(F.broadcast(scaler.select(F.col("mean").alias("_mean"), F.col("std").alias("_std"))))
-    return df.withColumn(out, F.transform(column, lambda v, i: (v - F.get("_mean", i)) / F.get("_std", i))).drop("_mean", "_std")
+    return df.withColumn(out, _scaled(F.col(column), F.col("_mean"), F.col("_std"))).drop("_mean", "_std")
+
+
+def _scaled(x: Column, mean: Column, std: Column) -> Column:
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(x: pa.Array, mean: pa.Array, std: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.list_(pa.float64()))
+        m, s = (np.array(a[0].as_py(), np.float64) for a in (mean, std))  # the same in every row
+        rows, good = matrix(x, len(m))
+        return lists((rows.astype(np.float64) - m) / s, good)
+
+    return run(x, mean, std)
 
 
 def fit_sample(rows: DataFrame, n: int, keys: list[str], seed: int = SEED) -> DataFrame:
-    """n rows without replacement, by a hash of their keys; all if there are fewer."""
-    return rows.withColumn("_h", F.xxhash64(F.lit(seed), *keys)).orderBy("_h", *keys).limit(n).drop("_h")
+    """n rows without replacement, by a digest of the seed and their keys; all if there are fewer.
+
+    Keys and digests alone are sorted to find the n-th; rows stay where they are. Rows with equal
+    keys are taken together, so keys should tell rows apart."""
+    place = F.struct(F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys)).cast("binary")).alias("h"), *keys)
+    least = rows.select(place.alias("place")).orderBy("place").limit(n)
+    last = least.agg(F.max("place").alias("last"), F.count("*").alias("n"))  # one row
+    return rows.crossJoin(F.broadcast(last)).where((F.col("n") < n) | (place <= F.col("last"))).select(*rows.columns)
 
 
 def fit_kmeans(scaled: DataFrame, k: int, column: str = "scaled", seed: int = SEED) -> DataFrame:
@@ -47,45 +72,61 @@ def fit_kmeans(scaled: DataFrame, k: int, column: str = "scaled", seed: int = SE
 
 
 def assign_clusters(vectors: DataFrame, centroids: DataFrame, column: str, out: str = "cluster_id") -> DataFrame:
-    """The nearest centroid of each row, the least id among equals. There are at most a few dozen
-    centroids (see K_RANGE): they go to the tasks as one matrix, and no row is shuffled."""
-    table = centroids.orderBy("cluster_id").limit(100_000).collect()
+    """The nearest centroid of each row, the least id among equals; null for a null vector, one with
+    a null or of another length, and if there is no centroid. No row is shuffled: the centroids go
+    to the tasks as one matrix, and more than MAX_CENTROIDS of them raise."""
+    table = centroids.orderBy("cluster_id").limit(MAX_CENTROIDS + 1).collect()
+    if len(table) > MAX_CENTROIDS:
+        raise ValueError(f"more than {MAX_CENTROIDS} centroids")
     if not table:
         return vectors.withColumn(out, F.lit(None).cast("int"))
-    ids, centers = np.array([r["cluster_id"] for r in table]), np.array([r["center"] for r in table], np.float64)
+    ids, centers = np.array([r["cluster_id"] for r in table], np.int32), np.array([r["center"] for r in table], np.float64)
+    step = max(1, (1 << 20) // centers.size)
 
-    @F.pandas_udf("int")
-    def nearest(x: pd.Series) -> pd.Series:
-        v = np.stack(x.to_numpy()).astype(np.float64)
+    @F.arrow_udf(T.IntegerType())
+    def nearest(x: pa.Array) -> pa.Array:
+        v, good = matrix(x, centers.shape[1])
+        v = v.astype(np.float64)
         # distances by differences, block by block: exact enough for ties
-        found = [((v[i : i + 256, None, :] - centers[None]) ** 2).sum(2).argmin(1) for i in range(0, len(v), 256)]
-        return pd.Series(ids[np.concatenate(found)], dtype="int32")
+        found = [((v[i : i + step, None, :] - centers[None]) ** 2).sum(2) for i in range(0, len(v), step)]
+        near = np.zeros(len(x), np.int32)
+        known = np.concatenate([~np.isnan(d).any(1) for d in found]) if found else np.empty(0, bool)
+        near[good] = ids[np.concatenate([d.argmin(1) for d in found])] if found else 0
+        good[good] = known
+        return pa.array(near, mask=~good)
 
     return vectors.withColumn(out, nearest(F.col(column)))
 
 
-def silhouette(sample: DataFrame, column: str, cluster: str = "cluster_id", n: int = SILHOUETTE_SAMPLE) -> float | None:
-    """Mean Euclidean silhouette of at most n rows, compared block by block. Single members count 0;
-    null if there are fewer than two clusters. The n rows are the sample's bound, not the data's."""
-    rows = sample.select(F.col(column).cast("array<double>").alias("v"), F.col(cluster).alias("c")).limit(n).toPandas()
-    if rows["c"].nunique() < 2:
-        return None
-    x, label = np.stack(rows["v"].to_numpy()), pd.factorize(rows["c"])[0]
+def silhouette(sample: DataFrame, column: str, cluster: str = "cluster_id") -> float | None:
+    """Mean Euclidean silhouette of a sample (see ``fit_sample``) of at most SILHOUETTE_SAMPLE rows;
+    more raise. Its vectors go to the tasks as one matrix, and each task compares a part of them with
+    all. Single members count 0; null if there are fewer than two clusters."""
+    rows = sample.select(F.col(column).cast("array<double>").alias("v"), F.col(cluster).alias("c")).limit(SILHOUETTE_SAMPLE + 1).toArrow()
+    if rows.num_rows > SILHOUETTE_SAMPLE:
+        raise ValueError(f"more than {SILHOUETTE_SAMPLE} rows")
+    label = np.unique(rows["c"].to_numpy(), return_inverse=True)[1]
     size = np.bincount(label)
+    if len(size) < 2:
+        return None
+    x = np.array(rows["v"].to_pylist())
     member = np.eye(len(size))[label]
-    scores = []
-    for i in range(0, len(x), 512):
-        own = label[i : i + 512]
-        d = np.sqrt(np.maximum(0, (x[i : i + 512] ** 2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * x[i : i + 512] @ x.T))
-        d[np.arange(len(own)), np.arange(i, i + len(own))] = 0
-        total = d @ member
-        at = np.arange(len(own))
-        a = total[at, own] / np.maximum(1, size[own] - 1)
-        mean = total / size
-        mean[at, own] = np.inf
-        b = mean.min(1)
-        scores.append(np.where(size[own] > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0))
-    return float(np.concatenate(scores).mean())
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            i = b.column(0).to_numpy()
+            for lo in range(0, len(i), 512):
+                who = i[lo : lo + 512]
+                own, at = label[who], np.arange(len(who))
+                d = np.sqrt(np.maximum(0, (x[who] ** 2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * x[who] @ x.T))
+                d[at, who] = 0
+                total = d @ member
+                mine, mean = total[at, own] / np.maximum(1, size[own] - 1), total / size
+                mean[at, own] = np.inf
+                other = mean.min(1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(size[own] > 1, (other - mine) / np.maximum(np.maximum(mine, other), 1e-300), 0.0))], names=["s"])
+
+    return sample.sparkSession.range(len(x)).mapInArrow(scores, "s double").agg(F.avg("s")).first()[0]
 
 
 def pick_k(scores: DataFrame) -> DataFrame:
@@ -97,11 +138,13 @@ def sweep_k(scaled: DataFrame, keys: list[str], column: str = "scaled", k_range:
     """Silhouettes of K_STEPS + 1 values of k on one sample. The driver loops over the values of k
     only; fitting and assigning are Spark jobs."""
     sample = fit_sample(scaled, K_SAMPLE, keys).cache()
+    judged = fit_sample(sample, SILHOUETTE_SAMPLE, keys, SEED + 1).cache()
     low, high = k_range
     scores = []
     for k in range(low, high + 1, max(1, (high - low) // K_STEPS)):
-        s = silhouette(assign_clusters(sample, fit_kmeans(sample, k, column), column), column)
+        s = silhouette(assign_clusters(judged, fit_kmeans(sample, k, column), column), column)
         scores.append((k, -1.0 if s is None else s))
+    judged.unpersist()
     sample.unpersist()
     return scaled.sparkSession.createDataFrame(scores, "k int, score double")
 
@@ -142,6 +185,9 @@ def cluster_top_signs(assigned: DataFrame, most: int = TOP_SIGN_FRAMES, top: int
     has one label, so frames are first counted by clip, and a running sum over clips cuts them off."""
     clip = assigned.groupBy("cluster_id", "clip_id").agg(F.any_value("label").alias("label"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(W.partitionBy("cluster_id").orderBy("clip_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # Every clip has a frame, so the first ``most`` clips are enough; Spark drops the others before it sorts.
+    first = W.partitionBy("cluster_id").orderBy("clip_id")
+    clip = clip.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= most)
     clip = clip.withColumn("n", F.least("n", most - before)).where("n > 0")
     label = clip.groupBy("cluster_id", "label").agg(F.sum("n").alias("n"), F.min("clip_id").alias("_first"))
     rank = F.row_number().over(W.partitionBy("cluster_id").orderBy(F.col("n").desc(), "_first"))

@@ -52,7 +52,7 @@ def _(spark, sf):
     pages = f.groupBy(F.floor(F.col("p_partkey") / 100).alias("page")).agg(F.collect_list(entry).alias("files"))
     folder = new_folder(spark, "catalogue")
     pages.select("files").write.json(folder)
-    return C.read_archive_catalog(spark, folder).orderBy("name")
+    return C.read_archive_catalog(spark, folder, multi_line=False).orderBy("name")
 
 
 @query("S3_media_files", ["media_files"], f"SELECT doc_id, rel_path, {_LABEL} AS label FROM media_files WHERE {_VIDEO}")
@@ -65,7 +65,27 @@ def _(spark, sf):
     a, folder = table(spark, sf, "attempts").select("run_id", "seq", "archive", "outcome"), new_folder(spark, "attempts")
     for part in (0, 1):  # two runs append to one log
         T.append_attempts(a.where(F.col("run_id") % 2 == part), folder)
-    return T.archives_done(T.read_attempts(spark, folder))
+    return T.archive_counts(T.read_attempts(spark, folder))
+
+
+_DONE = [
+    ("counted", "SELECT *, sum((outcome = 'success')::INT) OVER w AS since, sum((outcome <> 'failed')::INT) OVER w AS done FROM attempts WINDOW w AS (PARTITION BY run_id ORDER BY seq)"),
+    ("streaks", "SELECT *, sum((outcome = 'failed')::INT) OVER (PARTITION BY run_id, since ORDER BY seq) AS streak FROM counted"),
+    ("ends", "SELECT run_id, min(seq) FILTER (WHERE outcome = 'failed' AND done = 0 AND streak >= 8) AS gave_up FROM streaks GROUP BY run_id"),
+    ("done_archives", "SELECT DISTINCT archive AS name FROM (SELECT a.run_id, archive, max(seq) AS last, any_value(gave_up) AS gave_up FROM attempts a JOIN ends USING (run_id) GROUP BY a.run_id, archive) WHERE gave_up IS NULL OR last < gave_up"),
+]
+
+
+@query("S9_archives_done", ["attempts"], "SELECT name FROM done_archives", _DONE)
+def _(spark, sf):
+    return T.archives_done(table(spark, sf, "attempts"))
+
+
+@query("J3_pending_after_attempts", ["attempts"], "SELECT DISTINCT archive AS name FROM attempts WHERE run_id % 4 = 0 AND archive NOT IN (SELECT name FROM (SELECT * FROM done_archives) d)", _DONE)
+def _(spark, sf):
+    """Of the archives of some runs, those that no run has gone through."""
+    tried = table(spark, sf, "attempts").where("run_id % 4 = 0").select(F.col("archive").alias("name")).distinct()
+    return C.pending_archives(tried, T.archives_done(table(spark, sf, "attempts")))
 
 
 @query("P1_label_from_path", ["media_files"], f"SELECT doc_id, {_LABEL} AS label FROM media_files")

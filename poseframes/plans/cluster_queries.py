@@ -90,18 +90,23 @@ def _(spark, sf):
     return K.assign_clusters(table(spark, sf, "embeddings"), table(spark, sf, "centroids"), "embedding").select("vec_id", "cluster_id")
 
 
+# The same seeded sample in the other engine: the first rows by a digest of the seed and the id.
+_SAMPLED = ("sampled", "SELECT * FROM embeddings ORDER BY md5('0:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 4000")
+
+
 @query("A6_silhouette", """SELECT round(avg(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM (
   SELECT vec_id, any_value(n) FILTER (WHERE same) AS size, any_value(s / greatest(n - 1, 1)) FILTER (WHERE same) AS a, min(s / n) FILTER (WHERE NOT same) AS b FROM (
-    SELECT x.vec_id, x.label = y.label AS same, y.label, count(*) AS n, sum(CASE WHEN x.vec_id = y.vec_id THEN 0 ELSE list_distance(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) END) AS s
-    FROM first x, first y GROUP BY x.vec_id, x.label = y.label, y.label) GROUP BY vec_id)""", [("first", "SELECT * FROM embeddings ORDER BY vec_id LIMIT 4000")], [])
+    SELECT x.vec_id, x.label = y.label AS same, y.label, count(*) AS n,
+      sum(CASE WHEN x.vec_id = y.vec_id THEN 0 ELSE list_distance(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) END) AS s
+    FROM sampled x, sampled y GROUP BY x.vec_id, x.label = y.label, y.label) GROUP BY vec_id)""", [_SAMPLED], [])
 def _(spark, sf):
-    rows = table(spark, sf, "embeddings").orderBy("vec_id")
+    rows = K.fit_sample(table(spark, sf, "embeddings"), SILHOUETTE_SAMPLE, ["vec_id"])
     return spark.createDataFrame([(K.silhouette(rows, "embedding", "label"),)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("A6_silhouette_sampled")
 def _(spark, sf):
-    """Of a sample of all rows; the query above has the first rows, as its SQL has."""
+    """The same, not rounded."""
     rows = K.fit_sample(table(spark, sf, "embeddings"), SILHOUETTE_SAMPLE, ["vec_id"])
     return spark.createDataFrame([(K.silhouette(rows, "embedding", "label"),)], "silhouette double")
 
@@ -124,12 +129,14 @@ def _(spark, sf):
     return K.sweep_k(K.scale(e, K.fit_scaler(e, "embedding"), "embedding"), ["vec_id"])
 
 
-@query("O3_fit_sample", f"SELECT least(count(*), {MAX_FRAMES_FOR_FIT}) AS n, least(count(*), 300) AS n_small, true AS distinct_rows FROM frame_clusters")
+@query("O3_fit_sample", f"""SELECT clip_id, frame_idx, 300 AS of FROM (SELECT clip_id, frame_idx FROM frame_clusters
+  ORDER BY md5('0:' || CAST(clip_id AS VARCHAR) || ':' || CAST(frame_idx AS VARCHAR)), clip_id, frame_idx LIMIT 300)
+  UNION ALL SELECT clip_id, frame_idx, {MAX_FRAMES_FOR_FIT} FROM (SELECT clip_id, frame_idx FROM frame_clusters
+  ORDER BY md5('0:' || CAST(clip_id AS VARCHAR) || ':' || CAST(frame_idx AS VARCHAR)), clip_id, frame_idx LIMIT {MAX_FRAMES_FOR_FIT})""")
 def _(spark, sf):
-    f = table(spark, sf, "frame_clusters")
-    all_rows, few = (K.fit_sample(f, n, ["clip_id", "frame_idx"]) for n in (MAX_FRAMES_FOR_FIT, 300))
-    few = few.agg(F.count("*").alias("n_small"), (F.countDistinct("clip_id", "frame_idx") == F.count("*")).alias("distinct_rows"))
-    return all_rows.agg(F.count("*").alias("n")).crossJoin(few)
+    f = table(spark, sf, "frame_clusters").select("clip_id", "frame_idx")
+    few, many = (K.fit_sample(f, n, ["clip_id", "frame_idx"]).withColumn("of", F.lit(n)) for n in (300, MAX_FRAMES_FOR_FIT))
+    return few.unionByName(many)
 
 
 @query("A8_cluster_mean_pose", "SELECT cluster_id, j * 3 + a AS i, round(CASE a WHEN 0 THEN x WHEN 1 THEN y ELSE z END, 6) AS v FROM mean, (SELECT unnest([0, 1, 2]) AS a)", _MEAN)

@@ -15,5 +15,11 @@ def _local() -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A new place in the folder that ``spark.checkpoint.dir`` names; a temporary one if it is unset."""
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or _local()).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new place in the folder that ``spark.checkpoint.dir`` names. Where it is unset, a folder of
+    this machine stands in for it if Spark runs in this process alone; a cluster could not share it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local()
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

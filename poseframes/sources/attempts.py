@@ -18,11 +18,18 @@ def read_attempts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ATTEMPTS).parquet(path)
 
 
-def archives_done(attempts: DataFrame) -> DataFrame:
-    """Archives that have an attempt without a failure after it: the set that later runs skip."""
+def archive_counts(attempts: DataFrame) -> DataFrame:
+    """Done and failed attempts of each run and archive."""
     return attempts.groupBy("run_id", "archive").agg(F.count_if(F.col("outcome") != "failed").alias("n_done"), F.count_if(F.col("outcome") == "failed").alias("n_failed"))
 
 
+def archives_done(attempts: DataFrame) -> DataFrame:
+    """``name`` of the archives that later runs skip: a run went through them, whatever failed in
+    them. The archive in which a run gave up (see ``failure_streak``) is not done by it."""
+    last = attempts.join(failure_streak(attempts).select("run_id", "abort_seq"), "run_id").groupBy("run_id", "archive", "abort_seq").agg(F.max("seq").alias("last"))
+    return last.where(F.col("abort_seq").isNull() | (F.col("last") < F.col("abort_seq"))).select(F.col("archive").alias("name")).distinct()
+
+
 def failure_streak(attempts: DataFrame, most: int = ABORT_AFTER_FAILURES) -> DataFrame:
     """Per run the first attempt that aborts it, null if none: ``most`` failures in a row while
     nothing has succeeded. A stored file counts as done but does not end the streak."""

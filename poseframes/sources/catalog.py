@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 from poseframes import schemas
 from poseframes.functions.paths import archive_category, base_name, in_category, is_video, label_from_path
 
+#: What stands before the path in an address: a scheme, and the store's name.
+_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?")
+
 
 def metadata_union(splits: dict[str, DataFrame]) -> DataFrame:
     """Rows of all splits, each with the name of its own."""
@@ -27,9 +32,10 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.METADATA).option("header", True).csv(path)
 
 
-def read_archive_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """A saved catalogue (JSON objects with ``files``) as one row for each zip archive."""
-    return archive_catalog(spark.read.schema(schemas.CATALOGUE).json(path))
+def read_archive_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A saved catalogue (a JSON object with ``files``, or without ``multi_line`` one on each line) as
+    one row for each zip archive."""
+    return archive_catalog(spark.read.schema(schemas.CATALOGUE).option("multiLine", multi_line).json(path))
 
 
 def archive_catalog(catalogue: DataFrame) -> DataFrame:
@@ -41,9 +47,12 @@ def archive_catalog(catalogue: DataFrame) -> DataFrame:
 
 
 def list_media(spark: SparkSession, root: str) -> DataFrame:
-    """``rel_path`` of every file below a folder. Contents are never read: only the path is kept."""
+    """``rel_path`` of every file below a folder, given by its full path or address. Contents are
+    never read: only the path is kept."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select(F.regexp_replace("path", r"^[a-z0-9]+:/+", "/").alias("path")).select(F.expr(f"substr(path, instr(path, '{root.rstrip('/')}/') + {len(root.rstrip('/')) + 1})").alias("rel_path"))
+    start = _SCHEME.sub("", root).rstrip("/") + "/"
+    path = F.regexp_replace("path", _SCHEME.pattern, "")
+    return files.select(F.when(path.startswith(F.lit(start)), F.substring(path, len(start) + 1, 1 << 30)).otherwise(path).alias("rel_path"))
 
 
 def media_files(paths: DataFrame, categories: list[str] | None = None) -> DataFrame:
@@ -55,7 +64,8 @@ def media_files(paths: DataFrame, categories: list[str] | None = None) -> DataFr
 
 
 def path_order_limit(files: DataFrame, n: int) -> DataFrame:
-    """The first n by path components: ``a/x`` stands before ``a b/x``, unlike in string order."""
+    """The first n by path components: ``a/x`` stands before ``a b/x``, unlike in string order. Of
+    equal paths any may be taken."""
     return files.orderBy(F.split("rel_path", "/")).limit(n)
 
 

@@ -16,10 +16,14 @@ from poseframes.params import N_POINTS
 
 
 def write_clips(clips: DataFrame, frames: DataFrame, path: str, mode: str = "append") -> None:
-    """Frames of a clip stay together and in order; Spark commits whole files or none."""
+    """Frames of a clip stay together and in order; Spark commits whole files or none. A frame of
+    another width, or without coordinates or mask, fails the write: a store without it would hold
+    fewer frames than the clip's header says."""
     clips.select(clips["clip_id"], "label", F.col("fps").cast("float").alias("fps"), "source", "n_frames").write.mode(mode).parquet(f"{path}/clips")
-    valid = frames.where((F.size("xyz") == 3 * N_POINTS) & (F.size("mask") == N_POINTS))
-    stored = valid.select("clip_id", "frame_idx", F.col("xyz").cast("array<float>").alias("xyz"), "mask")
+    valid = F.coalesce((F.size("xyz") == 3 * N_POINTS) & (F.size("mask") == N_POINTS), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit(f"not {N_POINTS} points: clip "), F.col("clip_id").cast("string"), F.lit(", frame "), F.col("frame_idx").cast("string")))
+    frames = frames.withColumn("xyz", F.when(valid, F.col("xyz")).otherwise(wrong.cast("array<double>")))
+    stored = frames.select("clip_id", "frame_idx", F.col("xyz").cast("array<float>").alias("xyz"), "mask")
     stored.repartition("clip_id").sortWithinPartitions("clip_id", "frame_idx").write.mode(mode).parquet(f"{path}/frames")
 
 

@@ -9,6 +9,8 @@ from poseframes.operators.landmarks import assemble_keypoints, sample_frames
 
 RAW = "clip_id bigint, idx bigint, src_fps double, body array<struct<x: double, y: double, z: double, visibility: double>>, left_hand array<struct<x: double, y: double, z: double>>, right_hand array<struct<x: double, y: double, z: double>>"
 
+_STORED = "clip_id bigint, frame_idx bigint, fps double, xyz array<float>, mask array<boolean>"
+
 
 def stored_frames(raw: DataFrame) -> DataFrame:
     return assemble_keypoints(sample_frames(raw)).select("clip_id", "frame_idx", "fps", F.col("xyz").cast("array<float>").alias("xyz"), "mask")
@@ -16,15 +18,19 @@ def stored_frames(raw: DataFrame) -> DataFrame:
 
 def ingest_new_clips(spark: SparkSession, source: str, store: str, checkpoint: str) -> None:
     """Process the files that have come since the last call. The checkpoint remembers files; the
-    store is asked for clips, so a batch that is run again after a crash adds nothing twice: each
-    batch goes to a folder of its own number, which a second run replaces."""
+    store is asked for clips, so a batch that is run again after a crash adds nothing twice. Each
+    batch goes to a folder named after the checkpoint and its number, which a second run of this
+    batch replaces, and of no other: a lost checkpoint that starts again at 0 finds all clips stored.
+    A clip that comes in two files of one batch is taken from the first by path."""
+    spark.createDataFrame([], _STORED).write.mode("append").parquet(f"{store}/run=none/batch=-1")  # so that there is a store to ask
 
     def write(batch: DataFrame, number: int) -> None:
-        new = batch
-        if number:
-            old = spark.read.schema("clip_id bigint, batch bigint").parquet(store).where(F.col("batch") < number).select("clip_id").distinct()
-            new = batch.join(old, "clip_id", "left_anti")
-        stored_frames(new).write.mode("overwrite").parquet(f"{store}/batch={number}")
-
-    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1000).parquet(source)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = (F.col("run") == query) & (F.col("batch") == number)
+        old = spark.read.schema("clip_id bigint, run string, batch bigint").parquet(store).where(~own).select("clip_id").distinct()
+        first = batch.groupBy("clip_id").agg(F.min("_file").alias("_file"))
+        new = batch.join(first, ["clip_id", "_file"], "left_semi").join(old, "clip_id", "left_anti")
+        stored_frames(new).write.mode("overwrite").parquet(f"{store}/run={query}/batch={number}")
+
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1000).parquet(source).withColumn("_file", F.col("_metadata.file_path"))
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
