@@ -1,8 +1,8 @@
 """Byte-level BPE by monoid tree reduction.
 
-A stretch of bytes is encoded by halves. Two encoded neighbours are joined by encoding the bytes
-of a few tokens on both sides of the seam again; the window grows until its outer tokens fit the
-tokens beside it. Two tokens fit if their joint bytes encode to just these two. In byte-level BPE
+A stretch of bytes is encoded by halves, down to single bytes. Two encoded neighbours are joined by
+encoding the bytes of a few tokens on both sides of the seam again; the window grows until its outer
+tokens fit the tokens beside it. Two tokens fit if their joint bytes encode to just these two. In byte-level BPE
 a list of tokens is the encoding of its bytes exactly when all neighbours fit, so what lies
 outside the window is then proven stable. Texts are split into matches of the pattern in the same
 way: halves first, then a window over the seam is matched again until its ends meet the ends that
@@ -19,19 +19,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from poseframes.llm.common import ranks_of, small_batches, text_or_empty
+from poseframes.llm.common import ranks_of, small_batches, text_or_empty, trimmed
 
-#: Bytes up to which a stretch is merged directly instead of by halves.
-LEAF_BYTES = 16
 #: Characters up to which a text is matched in one go.
-LEAF_CHARS = 1 << 14
+LEAF_CHARS = 1 << 11
 #: Token ids that one step of decoding joins.
-LEAF_IDS = 1 << 12
+LEAF_IDS = 1 << 9
 #: Characters beside a seam on which a match may depend besides its own: a contraction has three.
 LOOK = 3
-#: Entries of each memo. A full one is set aside as the older half, from which what is asked for
-#: again moves back; so what is common stays, and a worker keeps little between its tasks.
-MEMO, MEMO_PARTS = 200_000, 50_000
+#: Entries of the memos: packed matches, short stretches of them, neighbours that fit. A full memo is
+#: set aside as the older half, from which what is asked for again moves back. Matches of more than
+#: LONGEST characters and stretches of more than SHORT bytes are not kept, so memos are small.
+MEMO, MEMO_PARTS = 60_000, 40_000
+LONGEST, SHORT = 48, 8
 
 _NONE = 1 << 62
 
@@ -44,11 +44,13 @@ class ByteBPE:
         self.bytes_of = dict(zip(self.ranks.values(), self.ranks, strict=True))
         self.pattern = regex.compile(pattern)
         self._fits = _Memo(self._fits_anew, MEMO_PARTS)
-        self._halves = _Memo(self.merge, MEMO_PARTS)
+        self._short = _Memo(self._by_halves, MEMO_PARTS)
         self._packed = _Memo(self._pack, MEMO)
+        self._short.update({bytes([i]): [self.ranks[bytes([i])]] for i in range(256)})
 
     def merge(self, data: bytes) -> list[int]:
-        """The definition: join the neighbours of least rank, leftmost first, while any has one."""
+        """The definition, for windows over a seam: join the neighbours of least rank, leftmost first,
+        while any has one."""
         rank = self.ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
         joint = [rank(data[i : i + 2], _NONE) for i in range(len(data) - 1)]
@@ -88,20 +90,21 @@ class ByteBPE:
                 return left[:-a] + window + right[b:]
             a, b = a if fits_left else 2 * a, b if fits_right else 2 * b
 
-    def encode_bytes(self, data: bytes) -> list[int]:
-        """By halves; the halves of short stretches are remembered."""
-        if len(data) <= LEAF_BYTES:
-            return self._halves[data]
+    def _by_halves(self, data: bytes) -> list[int]:
+        if len(data) < 2:
+            return [self.ranks[data]] if data else []
         half = len(data) // 2
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
+    def encode_bytes(self, data: bytes) -> list[int]:
+        """By halves; those of few bytes are remembered."""
+        return self._short[data] if len(data) <= SHORT else self._by_halves(data)
+
     def encode_match(self, match: str) -> list[int]:
-        """A match that is a token as a whole is that token."""
+        """A match that is a token as a whole is that token: the library's rule, whatever merges give."""
         data = match.encode()
         whole = self.ranks.get(data)
-        if whole is not None:
-            return [whole]
-        return self.merge(data) if len(data) <= LEAF_BYTES else self.encode_bytes(data)
+        return self.encode_bytes(data) if whole is None else [whole]
 
     def _pack(self, match: str) -> bytes:
         ids = self.encode_match(match)
@@ -144,8 +147,8 @@ class ByteBPE:
 
     def encode_packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        packed = self._packed
-        return b"".join([packed[m] for m in self.matches(text)])
+        packed, pack = self._packed, self._pack
+        return b"".join([packed[m] if len(m) <= LONGEST else pack(m) for m in self.matches(text)])
 
     def encode(self, text: str) -> list[int]:
         return unpack(self.encode_packed(text))
@@ -198,7 +201,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())], names=[id_col, "n_tokens", "ids"])
 
     rows = docs.select(id_col, text_or_empty(text).alias(text))
-    return rows.mapInArrow(encode, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_tokens long, ids binary")
+    return rows.mapInArrow(trimmed(encode), f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
@@ -211,7 +214,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str, id_col:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(data, pa.binary())], names=[*b.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != "decoded")
-    return encoded.drop("decoded").mapInArrow(decode, f"{fields}, decoded binary")
+    return encoded.drop("decoded").mapInArrow(trimmed(decode), f"{fields}, decoded binary")
 
 
 def digest_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -226,4 +229,4 @@ def digest_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(id_col, text_or_empty(text).alias(text))
-    return rows.mapInArrow(digest, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(trimmed(digest), f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

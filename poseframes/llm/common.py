@@ -3,23 +3,33 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import tempfile
 import uuid
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache, wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @lru_cache(maxsize=1)
-def _local_scratch() -> str:
+def _own_scratch() -> str:
     return tempfile.mkdtemp(prefix="spark-")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()).rstrip("/")
+    """The shared folder that ``spark.checkpoint.dir`` names. Where it is unset, a folder of one's
+    own stands in for it if Spark runs in this process alone, as in tests; on a cluster, executors
+    could not read what others write there, so it has to be set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = _own_scratch()
+    return folder.rstrip("/")
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
@@ -45,6 +55,60 @@ def bound_batches(spark: SparkSession) -> None:
 BATCH_BYTES = 4 << 20
 
 
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, with low lines behind those that clash with a column in ``taken``."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def fields(schema: T.StructType) -> str:
+    """The schema as a string that Arrow functions take."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+#: Blocks of memory from this size on go back to the system when they are freed, and others when a
+#: task has ended or a group of this many bytes.
+RETURNED, LARGE = 1 << 20, 1 << 22
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    """The C library, told once in a worker to keep no large free blocks; None if it can't."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        lib = ctypes.CDLL(None)
+        lib.mallopt(-3, RETURNED)  # M_MMAP_THRESHOLD
+        lib.malloc_trim  # noqa: B018
+        return lib
+    except (OSError, AttributeError):
+        return None
+
+
+def trim(used: int = LARGE) -> None:
+    """Give a Python worker's free memory back, which would else stay with it for later tasks; not
+    worth the time where little was ``used``."""
+    lib = _libc()
+    if lib is not None and used >= LARGE:
+        lib.malloc_trim(0)
+
+
+def trimmed(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A function of ``mapInArrow`` that trims its worker when a task ends."""
+
+    @wraps(run)
+    def wrapped(batches):
+        trim()
+        yield from run(batches)
+        trim()
+
+    return wrapped
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from poseframes.llm.common import record_batch, small_batches, text_or_empty
+from poseframes.llm.common import record_batch, small_batches, text_or_empty, trimmed
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
@@ -101,4 +101,4 @@ def compression_bands(docs: DataFrame, bands: Bands = Bands(), text: str = "text
 
     rows = docs.select(id_col, text_or_empty(text).alias(text))
     counts = ", ".join(f"{c} long" for c in _COUNTS)
-    return rows.mapInArrow(judge, f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, {counts}, base_failed boolean, kept boolean, ratio double, bad_chunks long")
+    return rows.mapInArrow(trimmed(judge), f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, {counts}, base_failed boolean, kept boolean, ratio double, bad_chunks long")

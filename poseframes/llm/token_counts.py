@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poseframes.llm.common import byte_batches, record_batch, small_batches, text_or_empty
+from poseframes.llm.common import byte_batches, record_batch, small_batches, text_or_empty, trimmed
 
 #: UTF-8 bytes (about) that one call of the library encodes.
 BATCH_BYTES = 1 << 20
@@ -112,4 +112,4 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, text: str
 
     rows = docs.select(id_col, text_or_empty(text).alias(text))
     kind = rows.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(lengths, f"`{id_col}` {kind}, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return rows.mapInArrow(trimmed(lengths), f"`{id_col}` {kind}, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
