@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -46,12 +47,37 @@ def test_bpe_round_trip(docs):
 @given(st.text(alphabet=st.sampled_from("ab '\n\t1é漢s tlre#—"), max_size=120))
 def test_halves_join_to_the_whole(text):
     bpe = B.encoder(RANKS, public_tokenizers.PATTERN)
-    old, B.LEAF_CHARS, leaf, B.LEAF_BYTES = B.LEAF_CHARS, 5, B.LEAF_BYTES, 2
+    old, B.LEAF_CHARS = B.LEAF_CHARS, 5
     try:
         assert bpe.matches(text) == bpe.pattern.findall(text)
         assert bpe.encode(text) == TIK.encode_ordinary(text)
     finally:
-        B.LEAF_CHARS, B.LEAF_BYTES = old, leaf
+        B.LEAF_CHARS = old
+
+
+def test_joins_make_the_tokens(monkeypatch):
+    """Every match that is not one token comes out of joins, and the definition sees windows only."""
+    bpe = B.ByteBPE(RANKS, public_tokenizers.PATTERN)
+    joined, windows = [], []
+    join, merge = bpe.join, bpe.merge
+    monkeypatch.setattr(bpe, "join", lambda a, b: joined.append(join(a, b)) or joined[-1])
+    monkeypatch.setattr(bpe, "merge", lambda data: windows.append(data) or merge(data))
+    rng = random.Random(21)
+    words = {"".join(rng.choice("aeiouklmnprstéü漢9#") for _ in range(rng.randint(2, 40))) for _ in range(400)}
+    for w in words:
+        joined.clear()
+        ids = bpe.encode_match(w)
+        assert ids == TIK._encode_single_piece(w.encode()) and (len(ids) == 1 or len(w.encode()) <= B.SHORT or joined[-1] == ids)
+    assert max(map(len, windows)) < 40 and sum(len(x) > 24 for x in windows) < 0.02 * len(windows)
+
+
+def test_texts_are_matched_by_halves(monkeypatch):
+    bpe, seams = B.ByteBPE(RANKS, public_tokenizers.PATTERN), []
+    join = bpe.join_matches
+    monkeypatch.setattr(bpe, "join_matches", lambda a, b: seams.append(1) or join(a, b))
+    text = "some words, 12 more…  and it's\n\nso on " * 3000
+    assert bpe.encode(text) == TIK.encode_ordinary(text) and len(seams) >= len(text) // B.LEAF_CHARS - 1
+    assert bpe.decode(TIK.encode_ordinary(text)) == text.encode()
 
 
 def test_counts_equal_the_library(docs):
@@ -104,3 +130,56 @@ def test_language(spark):
     nothing = L.identify(df, L.learn(df.where("lang is null"))).collect()
     assert {(r["lang_pred"], r["score"]) for r in nothing} == {("und", 0.0)}
     assert L.identify(df.limit(0), L.learn(df.limit(0))).collect() == []
+
+
+def test_folded_weights_are_kernel_ridge_regression(monkeypatch):
+    """Against Nyström features and ridge regression with the kernel spelled out."""
+    monkeypatch.setattr(L, "LANDMARKS", 8)
+    rng = random.Random(14)
+    parts = {"aa": ["ka", "ko", "ri"], "bb": ["sch", "ung", "öl"], "cc": ["ção", "lh", "os"]}
+    labels = [rng.choice(["aa", "aa", "bb", "cc"]) for _ in range(40)]
+    texts = [_prose(rng, parts[x]) for x in labels]
+    model = L.fit(L.presence(texts), labels)
+
+    def grams(text):
+        spaced = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split(" "))
+        slots = {int(i) for i in np.flatnonzero(L.presence([spaced])[0])}
+        assert len(slots) > 3
+        return slots
+
+    sets = [grams(t) for t in texts]
+    k = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    seen, turns = {}, []
+    for i, x in enumerate(labels):
+        seen[x] = seen.get(x, -1) + 1
+        turns.append((seen[x], i))
+    marks = [sets[i] for _, i in sorted(turns)[:8]]
+    values, vectors = np.linalg.eigh(np.array([[k(a, b) for b in marks] for a in marks]))
+    root = vectors[:, values > 1e-6 * values[-1]] / np.sqrt(values[values > 1e-6 * values[-1]])
+    feature = lambda s: np.append(np.array([k(s, m) for m in marks]) @ root, 1.0)
+    x = np.array([feature(s) for s in sets])
+    weight = np.array([len(labels) / (3 * labels.count(c)) for c in labels])
+    for j, lang in enumerate(("aa", "bb", "cc")):
+        goal = np.array([1.0 if c == lang else -1.0 for c in labels])
+        w = np.linalg.solve((x.T * weight) @ x + L.RIDGE * np.eye(x.shape[1]), (x.T * weight) @ goal)
+        for t in texts[:10] + ["ka ko sch", "öl öl os"]:
+            row = L.presence([t])[0]
+            folded = row @ model.weights[:, j] / row.sum() ** 0.5 + model.bias[j]
+            assert abs(folded - feature(grams(t)) @ w) < 1e-3
+
+
+def test_presence_of_long_texts(monkeypatch):
+    rng = random.Random(15)
+    texts = ["".join(rng.choice("abc é1-  ") for _ in range(n)) for n in (0, 3, 50, 400, 2000)] + ["  " * 300 + "ab" + " 1" * 200 + "c", "123"]
+    whole = L.presence(texts)
+    for size in (1, 5, 17, 100):
+        monkeypatch.setattr(L, "PIECE", size)
+        assert (L.presence(texts) == whole).all()
+
+
+def test_language_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "ka ko ri", "aa", 1.5, "x")], "doc_id long, text string, lang string, score double, lang_pred string")
+    got = L.identify(df, L.learn(df), keep=tuple(df.columns), names=("p", "q"))
+    assert got.columns == [*df.columns, "p", "q"] and got.first()["score"] == 1.5
+    with pytest.raises(ValueError):
+        L.identify(df, L.learn(df), keep=("score",))
