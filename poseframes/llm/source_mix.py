@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from poseframes.llm.common import fresh
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in the order of their names, again and again.
 WEIGHTS = (3, 1, 2)
@@ -51,7 +53,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def systematic_copies(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
-    """All columns of ``docs`` and ``_size, _source_size, _target, _copies``.
+    """All columns of ``docs`` and ``_size, _source_size, _target, _copies`` (with low lines behind a
+    name that ``docs`` has already).
 
     A document's place in its source comes from three counts: of smaller sizes in the source, of
     its size in lower buckets of a hash, and of its bucket's rows before it. So a source, or a
@@ -60,8 +63,17 @@ def systematic_copies(docs: DataFrame, text: str = "text", source: str = "source
     Null texts have size 0; null sources are one source, the last; null ids stand first in their
     bucket. Equal rows may swap places, which changes nothing that is returned. A source without
     words has target 0 and no copies; an empty table gives an empty one. Columns of ``docs`` keep
-    their values as long as their names do not start with ``_mix`` or are those added here.
+    their values whatever their names.
     """
+    made = ("_size", "_source_size", "_target", "_copies")
+    inside = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: f"c{docs.columns.index(c)}" for c in (text, source, id_col)}
+    found = _copies(docs.toDF(*inside), at[text], at[source], at[id_col])
+    named = [F.col(c).alias(n) for c, n in zip([*inside, *made], [*docs.columns, *fresh(docs.columns, *made)], strict=True)]
+    return found.select(*named)
+
+
+def _copies(docs: DataFrame, text: str, source: str, id_col: str) -> DataFrame:
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     rows = docs.withColumns({
         "_source": F.col(source), "_size": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
@@ -91,7 +103,8 @@ def systematic_copies(docs: DataFrame, text: str = "text", source: str = "source
 def mix(docs: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it has copies."""
     copies = systematic_copies(docs, text, source, id_col)
-    return copies.where(F.col("_copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    many, one = copies.columns[-1], fresh(copies.columns, "_copy")[0]
+    return copies.where(F.col(many) > 0).withColumn(one, F.explode(F.sequence(F.lit(1), F.col(many).cast("int")))).select(*docs.columns)
 
 
 #: For DuckDB: the same, with one window a source instead of three counts.

@@ -45,6 +45,14 @@ def test_targets_and_copies(spark):
     assert sorted(again, key=str) == sorted(first, key=str)
 
 
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(i, "a", "x y", i, i + 1, i + 2, "s", 0.5) for i in range(6)], "doc_id long, source string, text string, _size long, _copies long, _mix_place long, _source string, _target double")
+    got = M.systematic_copies(df)
+    assert got.columns == [*df.columns, "_size_", "_source_size", "_target_", "_copies_"]
+    assert sorted(tuple(r[:8]) for r in got.collect()) == sorted(map(tuple, df.collect())) and {r["_size_"] for r in got.collect()} == {2}
+    assert {tuple(r) for r in M.mix(df).collect()} <= {tuple(r) for r in df.collect()}
+
+
 def test_no_words_and_no_rows(spark):
     schema = "doc_id long, source string, text string"
     assert M.systematic_copies(spark.createDataFrame([], schema)).collect() == []
