@@ -3,7 +3,8 @@
 Pages become records of numbered archive files. Every record has a digest; every range of FANOUT
 neighbours, in the order of their offsets, has the digest of its members' digests, and so on up to
 a root for each file and above the files to one root. Two replicas are compared from the root down:
-at each level only the children of ranges that differ are read.
+of each level's table, only the children of ranges that differ go into the comparison. A record's
+place in the tree is a slot that follows from its page id alone, so a lost one moves no other.
 """
 
 from __future__ import annotations
@@ -32,20 +33,24 @@ def warc_record(url: Column, html: Column) -> Column:
 
 
 def warc_records(pages: DataFrame) -> DataFrame:
-    """``file, pos, page_id, offset, n_bytes, sha256`` of each page's record.
+    """``file, pos, nth, page_id, offset, n_bytes, sha256`` of each page's record.
 
-    Files hold ranges of page ids; records stand in the order of id, then digest. Pages without an
-    id go to files below 0, by a hash of the url. Other columns are ignored, repeated rows are
+    Files hold ranges of page ids; records stand in the order of id, url and digest. ``pos`` is the
+    slot of the page id in its range, ``nth`` counts equal records of a slot. Pages without an id go
+    to files below 0 and to slots by a hash of the url. Other columns are ignored, repeated rows are
     records of their own, an empty table gives an empty one.
     """
     record = warc_record(F.col("url"), F.col("html"))
     loose = -1 - F.pmod(F.crc32(F.coalesce("url", F.lit("")).cast("binary")), F.lit(LOOSE_FILES))
-    rows = pages.select("page_id", F.coalesce(F.floor(F.col("page_id") / PER_FILE), loose).alias("file"), F.octet_length(record).cast("long").alias("n_bytes"), F.sha2(record.cast("binary"), 256).alias("sha256"))
-    order = W.partitionBy("file").orderBy("page_id", "sha256")
+    slot = F.pmod(F.coalesce(F.col("page_id"), F.xxhash64(F.coalesce("url", F.lit("")))), F.lit(PER_FILE)).cast("long")
+    rows = pages.select(
+        "page_id", "url", F.coalesce(F.floor(F.col("page_id") / PER_FILE), loose).cast("long").alias("file"), slot.alias("pos"),
+        F.octet_length(record).cast("long").alias("n_bytes"), F.sha2(record.cast("binary"), 256).alias("sha256"),
+    )
+    order = W.partitionBy("file").orderBy("page_id", "url", "sha256")
     before = order.rowsBetween(W.unboundedPreceding, -1)
-    return rows.select(
-        "file", (F.row_number().over(order) - 1).cast("long").alias("pos"), "page_id", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)).cast("long").alias("offset"), "n_bytes", "sha256"
-    )
+    nth = F.row_number().over(W.partitionBy("file", "pos", "sha256").orderBy("page_id", "url"))
+    return rows.select("file", "pos", nth.alias("nth"), "page_id", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)).cast("long").alias("offset"), "n_bytes", "sha256")
 
 
 def _up(depth: int) -> tuple[Column, Column]:
@@ -58,9 +63,11 @@ def _up(depth: int) -> tuple[Column, Column]:
 
 
 def fixity_trees(records: DataFrame) -> list[DataFrame]:
-    """The trees of all replicas, records first, roots last: ``replica, file, pos, digest``. Each
-    level is a table, an eighth of the one below or less."""
-    level = records.select("replica", "file", "pos", F.col("sha256").alias("digest"))
+    """The trees of all replicas, slots first, roots last: ``replica, file, pos, digest``. A slot
+    has the digest of its records' digests; it nearly always has one. Each level is a table, with
+    full files an eighth of the one below or less."""
+    members = F.concat_ws("", F.sort_array(F.collect_list("sha256")))
+    level = records.groupBy("replica", "file", "pos").agg(F.sha2(members.cast("binary"), 256).alias("digest"))
     lowest, highest = (x or 0 for x in records.agg(F.min("file"), F.max("file")).first())
     levels = [level]
     while lowest != 0 or highest != 0 or FANOUT ** (len(levels) - 1) < PER_FILE:
@@ -77,7 +84,7 @@ def fixity_trees(records: DataFrame) -> list[DataFrame]:
 
 
 def damaged_records(levels: list[DataFrame], replicas: int = 2) -> DataFrame:
-    """``file, pos`` of the records that differ or that a replica lacks, found from the roots down:
+    """``file, pos`` of the slots that differ or that a replica lacks, found from the roots down:
     of each level only the nodes below those that differ are compared."""
     wanted = None
     for depth in range(len(levels) - 1, -1, -1):
@@ -93,11 +100,15 @@ def damaged_records(levels: list[DataFrame], replicas: int = 2) -> DataFrame:
 
 def audit(pages: DataFrame, replica: DataFrame) -> DataFrame:
     """``page_id, file, offset, n_bytes, sha256, damaged`` of every record of ``pages``:
-    ``damaged`` if the replica's record in that place is another one or missing."""
+    ``damaged`` if the replica has no equal record in its slot. What the replica has besides is not
+    reported."""
     both = warc_records(pages).withColumn("replica", F.lit(0)).unionByName(warc_records(replica).withColumn("replica", F.lit(1)))
     both = cut(both, "records")
-    found = damaged_records(fixity_trees(both)).withColumn("damaged", F.lit(True))
-    return both.where("replica = 0").join(found, ["file", "pos"], "left").select("page_id", "file", "offset", "n_bytes", "sha256", F.coalesce("damaged", F.lit(False)).alias("damaged"))
+    slots = damaged_records(fixity_trees(both))
+    there = both.join(slots, ["file", "pos"], "left_semi")  # of the differing slots alone, record by record
+    found = there.where("replica = 0").join(there.where("replica = 1"), ["file", "pos", "sha256", "nth"], "left_anti").select("file", "pos", "sha256", "nth", F.lit(True).alias("damaged"))
+    ours = both.where("replica = 0").join(found, ["file", "pos", "sha256", "nth"], "left")
+    return ours.select("page_id", "file", "offset", "n_bytes", "sha256", F.coalesce("damaged", F.lit(False)).alias("damaged"))
 
 
 def worn_replica(pages: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from poseframes.llm import training_order as O
 from poseframes.llm import warc_fixity as X
@@ -32,6 +33,56 @@ def test_equal_replicas_and_no_rows(spark):
     assert X.audit(pages.limit(0), pages.limit(0)).collect() == []
 
 
+def test_a_lost_or_repeated_record_moves_no_other(spark):
+    pages = [(i, f"http://x/{i}", f"<p>{i}</p>", "z") for i in range(100)] + [(None, f"u{i}", "n", "z") for i in range(9)] + [(5, "http://x/5", "<p>5</p>", "z"), (5, "other", "q", "z")]
+    theirs = [p for p in pages if p[0] != 3 and p[1] != "u4"]
+    theirs[-1] = (5, "other", "changed", "z")
+    got = X.audit(*(spark.createDataFrame(p, SCHEMA) for p in (pages, theirs))).collect()
+    assert len(got) == len(pages) and sorted((r["page_id"], r["n_bytes"]) for r in got if r["damaged"] and r["page_id"] is not None) == sorted((r["page_id"], r["n_bytes"]) for r in got if r["page_id"] == 3 or r["page_id"] == 5 and r["n_bytes"] == min(q["n_bytes"] for q in got if q["page_id"] == 5))
+    assert sum(r["damaged"] for r in got if r["page_id"] is None) == 1
+
+
+def feistel(number, n, key):
+    """One number's slot by the definition, in plain integers."""
+    bits = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    word, half = 2**64 - 1, 2**bits - 1
+    while True:
+        left, right = number >> bits, number & half
+        for i in range(O.ROUNDS):
+            x = (right + key + 0x9E3779B97F4A7C15 * (i + 1)) * 0xBF58476D1CE4E5B9 & word
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & word
+            left, right = right, left ^ (x ^ x >> 31) & half
+        number = left << bits | right
+        if number < n:
+            return number
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 300, 5000])
+def test_slots_are_those_of_the_definition(n):
+    assert O.slots(np.arange(n), n, 2**61 + 7).tolist() == [feistel(i, n, 2**61 + 7) for i in range(n)]
+
+
+def test_wide_token_ids_and_long_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(O, "PER_SHARD", 64)
+    ids = {i: np.arange(n, dtype="<u4") * 70_001 for i, n in enumerate((0, 1, 511, 512, 513, 150_000))}
+    path, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(i, x.tobytes()) for i, x in ids.items()], "doc_id long, ids binary").write.parquet(path)
+    n = O.write_shards(spark.read.parquet(path), folder, key=9, text="ids", width=4)
+    got: dict = {}
+    for r in sorted(O.read_shards(spark, folder, width=4).collect(), key=lambda r: r["part"]):
+        assert r["offset"] == r["slot"] % 64 * O.stride(4) and r["n_tokens"] * 4 == len(r["tokens"])
+        got.setdefault(r["doc_id"], []).append(bytes(r["tokens"]))
+    assert n > 4 * 64 and {i: b"".join(t) for i, t in got.items()} == {i: x.tobytes() for i, x in ids.items() if len(x)}
+
+
+def test_other_partitions_than_counted_fail(spark, tmp_path):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.when(F.rand() < 0.5, F.lit("a")).otherwise(F.lit("b" * 600)).alias("text"))
+    moving = docs.withColumn("text", F.expr("if(shiftright(unix_micros(now()), 3) % 2 = 0, text, text || repeat('x', cast(rand() * 5000 as int)))"))
+    with pytest.raises(Exception, match="when it was counted"):
+        for i in range(8):
+            O.write_shards(moving.withColumn("text", F.concat("text", F.repeat(F.lit("y"), (F.unix_micros(F.now()) % 9973).cast("int")))), str(tmp_path / str(i)))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 4097])
 def test_slots_are_a_permutation(n):
     got = O.slots(np.arange(n), n, 99)
