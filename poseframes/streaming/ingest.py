@@ -21,15 +21,16 @@ def ingest_new_clips(spark: SparkSession, source: str, store: str, checkpoint: s
     store is asked for clips, so a batch that is run again after a crash adds nothing twice. Each
     batch goes to a folder named after the checkpoint and its number, which a second run of this
     batch replaces, and of no other: a lost checkpoint that starts again at 0 finds all clips stored.
-    A clip that comes in two files of one batch is taken from the first by path."""
+    A frame that comes in two files of one batch is taken from the first by path; the frames of a clip
+    may be spread over files of a batch."""
     spark.createDataFrame([], _STORED).write.mode("append").parquet(f"{store}/run=none/batch=-1")  # so that there is a store to ask
 
     def write(batch: DataFrame, number: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = (F.col("run") == query) & (F.col("batch") == number)
         old = spark.read.schema("clip_id bigint, run string, batch bigint").parquet(store).where(~own).select("clip_id").distinct()
-        first = batch.groupBy("clip_id").agg(F.min("_file").alias("_file"))
-        new = batch.join(first, ["clip_id", "_file"], "left_semi").join(old, "clip_id", "left_anti")
+        first = batch.groupBy("clip_id", "idx").agg(F.min("_file").alias("_file"))
+        new = batch.join(first, ["clip_id", "idx", "_file"], "left_semi").join(old, "clip_id", "left_anti")
         stored_frames(new).write.mode("overwrite").parquet(f"{store}/run={query}/batch={number}")
 
     stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1000).parquet(source).withColumn("_file", F.col("_metadata.file_path"))
