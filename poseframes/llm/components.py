@@ -32,6 +32,20 @@ class Forest:
         return up
 
 
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each position below n the least one that the links a - b connect it with."""
+    least = np.arange(n)
+    while True:
+        low = np.minimum(least[a], least[b])
+        new = least.copy()
+        for side in (a, b, least[a], least[b]):
+            np.minimum.at(new, side, low)
+        new = new[new]
+        if (new == least).all():
+            return least
+        least = new
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``id`` and ``component`` (the least id that its links reach) of every id in a link.
 
@@ -54,3 +68,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def components_sql(table: str, id_col: str) -> str:
+    """For DuckDB: ``components`` (``id, component_id``) of every id of a table under ``links`` (``x,
+    y`` in both directions); the query has to begin with WITH RECURSIVE."""
+    return f"""reach(id, c) AS (SELECT DISTINCT {id_col}, {id_col} FROM {table} UNION SELECT l.y, r.c FROM reach r JOIN links l ON l.x = r.id),
+components AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)"""
