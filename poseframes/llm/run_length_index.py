@@ -29,6 +29,7 @@ class RunLengthIndex:
         inside[ends - 1] = False
         text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int16) + 1
         self.k, self.text, n = k, text, len(text)
+        self.ends, self.owners = ends, np.asarray(owners, np.int64)
         string = np.repeat(np.arange(len(strings)), sizes + 1)
         rows, prefix = _suffix_order(text, k)
         bwt = text[rows - 1]  # row of position 0 gets the last symbol
@@ -47,21 +48,20 @@ class RunLengthIndex:
         agree = np.zeros(n + 1, bool)
         a, b = rows[1:], rows[:-1]
         agree[1:n] = whole[a] & whole[b] & (prefix[a] == prefix[b])
-        if k > _DEPTH:
+        if k > DEPTH:
             fits = agree[1:n]
-            fits[fits] &= prefix[a[fits] + k - _DEPTH] == prefix[b[fits] + k - _DEPTH]
+            fits[fits] &= prefix[a[fits] + k - DEPTH] == prefix[b[fits] + k - DEPTH]
         start = np.flatnonzero(agree[1:] & ~agree[:-1])
         self.starts, self.stops = start, np.flatnonzero(agree[:-1] & ~agree[1:]) + 1
         self.least = np.empty(len(start), np.int64)
         if len(start):
             bounds = np.column_stack([self.starts, self.stops]).reshape(-1)
-            own = np.append(np.asarray(owners, np.int64)[string[rows]], np.iinfo(np.int64).max)
+            own = np.append(self.owners[string[rows]], np.iinfo(np.int64).max)
             self.least = np.minimum.reduceat(own, bounds)[::2]
 
-    def least_owner(self, rows: np.ndarray) -> np.ndarray:
-        """The least owner among the matches of k symbols at these rows; the greatest integer if
-        a row's string alone has them."""
-        out = np.full(len(rows), np.iinfo(np.int64).max)
+    def least_owner(self, rows: np.ndarray, positions: np.ndarray) -> np.ndarray:
+        """The least owner among the matches of k symbols at these rows and text positions."""
+        out = self.owners[np.searchsorted(self.ends, positions, side="right")]
         if len(self.starts):
             i = np.searchsorted(self.starts, rows, side="right") - 1
             inside = (i >= 0) & (rows < self.stops[np.maximum(i, 0)])
@@ -71,7 +71,7 @@ class RunLengthIndex:
     def stream(self, patterns: list[bytes]):
         """Matching statistics, from the last position of the patterns to the first.
 
-        Yields (pattern numbers, position in each, length of the longest match, row of it)."""
+        Yields (pattern numbers, position in each, length of the longest match, row and text position of it)."""
         sizes = np.array([len(p) for p in patterns], np.int64)
         order = np.argsort(-sizes, kind="stable")
         flat = np.frombuffer(b"".join(patterns), np.uint8).astype(np.int64) + 1
@@ -109,7 +109,7 @@ class RunLengthIndex:
             pos = pos - 1
             length = length + 1
             row[gone], pos[gone], length[gone] = 0, self.first[0], 0
-            yield order[:lanes], sizes[:lanes] - 1 - step, length, row
+            yield order[:lanes], sizes[:lanes] - 1 - step, length, row, pos
 
     def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """How many symbols the text has in common from a and from b on, ``most`` at most."""
@@ -127,30 +127,49 @@ class RunLengthIndex:
 
 
 #: Symbols that the ranks kept from the sort tell apart.
-_DEPTH = 28
+DEPTH = 28
 
 
 def _suffix_order(text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their suffixes (prefix doubling), and ranks by the first
-    _DEPTH symbols. Two positions agree in k symbols, _DEPTH <= k <= 2 * _DEPTH, if their ranks
-    and those of the positions k - _DEPTH behind are equal."""
+    DEPTH symbols. Two positions agree in k symbols, DEPTH <= k <= 2 * DEPTH, if their ranks
+    and those of the positions k - DEPTH behind are equal."""
     n = len(text)
     padded = np.append(text.astype(np.uint64), np.zeros(7, np.uint64))
     key = np.zeros(n, np.uint64)
     for i in range(7):
         key = (key << np.uint64(9)) | padded[i : i + n]
-    depth, prefix = 7, None
     order = np.argsort(key)
+    rank = np.empty(n, np.int64)
+    rank[order] = _ranks(key[order])
+    depth, prefix = 7, None
+    tied = _tied(rank[order])  # rows whose suffix is not told apart yet
     while True:
-        new = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.r_[0, new[1:] != new[:-1]])
-        if depth == _DEPTH:
-            prefix = rank
-        if rank[order[-1]] == n - 1 and prefix is not None:
+        if depth == DEPTH:
+            prefix = rank.copy()
+        if not len(tied) and prefix is not None:
             return order, prefix
-        second = np.zeros(n, np.int64)
-        second[: n - depth] = rank[depth:] + 1
-        key = (rank << 32) | second
-        order = np.argsort(key)
+        if len(tied):
+            rows = order[tied]
+            second = np.where(rows + depth < n, rank[np.minimum(rows + depth, n - 1)] + 1, 0)
+            key = (rank[rows] << 32) | second
+            by = np.argsort(key)
+            rows, key = rows[by], key[by]
+            order[tied] = rows  # ranks are first rows, so each group stays in its rows
+            first = np.r_[True, key[1:] != key[:-1]]
+            rank[rows] = tied[np.maximum.accumulate(np.where(first, np.arange(len(tied)), 0))]
+            group = rank[rows]
+            again = np.r_[group[1:] == group[:-1], False] | np.r_[False, group[1:] == group[:-1]]
+            tied = tied[again]
         depth *= 2
+
+
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """For keys in order the first row with the same one."""
+    first = np.r_[True, keys[1:] != keys[:-1]]
+    return np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
+
+
+def _tied(ranks: np.ndarray) -> np.ndarray:
+    same = ranks[1:] == ranks[:-1]
+    return np.flatnonzero(np.r_[same, False] | np.r_[False, same])
