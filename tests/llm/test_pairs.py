@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from poseframes.llm import embedding_dedup as E
@@ -29,9 +31,14 @@ def grams(text):
     return frozenset(zip(w, w[1:], w[2:])) if len(w) > 2 else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("block", [512, 2])
-def test_jaccard_equals_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "here", "piece"), [(1 << 19, 64, 1 << 20), (100, 2, 7)])
+def test_jaccard_equals_all_pairs(spark, monkeypatch, block, here, piece):
     monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "ASKING", block)
+    monkeypatch.setattr(J, "HOT_HERE", here)
+    monkeypatch.setattr(J, "PIECE", piece)
+    monkeypatch.setattr(J, "BUCKET", 1000)
+    monkeypatch.setattr(J, "CROWD", here // 8 + 1)
     rng = random.Random(9)
     texts = []
     for _ in range(12):
@@ -57,9 +64,38 @@ def test_jaccard_repeats_and_no_rows(spark):
     assert J.similar_documents(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("block", [1024, 16])
-def test_vectors_equal_all_pairs(spark, monkeypatch, block):
+def test_jaccard_joins_all_texts_of_a_document(spark):
+    rows = [(1, "x one text here"), (2, "y other text here"), (5, "x one text here"), (5, "y other text here"), (8, "z"), (9, None), (9, "z")]
+    got = {(r["doc_id"], r["component_id"]) for r in J.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (8, 8), (9, 8)}
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(90))
+    rows = [(3, a), (4, b), (5, a + " more"), (5, b + " more")]
+    assert {r["component_id"] for r in J.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {3}
+
+
+@pytest.mark.parametrize("here", [64, 1])
+def test_hashes_of_one_class_only_are_not_shared(here):
+    rng = np.random.default_rng(3)
+    sketches = [np.unique(rng.integers(0, 400, 40)) for _ in range(30)]
+    batches = [pa.record_batch({"rep": pa.array(range(i, i + 10)), "tag": pa.array([7] * 10, pa.int32()), "n": pa.array([len(s) for s in sketches[i : i + 10]]), "sketch": pa.array([s.tolist() for s in sketches[i : i + 10]], pa.list_(pa.int64()))}) for i in (0, 10, 20)]
+    sent = [x for b in batches for x in J._send([b], 4, here)]
+    got: dict = {}
+    for bucket in range(4):
+        own = pa.Table.from_batches(sent)
+        own = own.filter(pa.compute.equal(own["bucket"], bucket))
+        for r in J._shared(own).to_pylist() if own.num_rows else ():
+            assert (r["tag"], r["n"]) == (7, len(sketches[r["rep"]]))
+            assert r["df"] > 1
+            got.setdefault(r["rep"], []).append(r["token"])
+    many = [set(s.tolist()) for s in sketches]
+    assert {i: sorted(t) for i, t in got.items()} == {i: sorted(x for x in s if sum(x in o for o in many) > 1) for i, s in enumerate(many)}
+
+
+@pytest.mark.parametrize(("block", "small"), [(1024, 64), (16, 64), (1024, 1), (16, 4)])
+def test_vectors_equal_all_pairs(spark, monkeypatch, block, small):
     monkeypatch.setattr(E, "BLOCK", block)
+    monkeypatch.setattr(E, "SMALL", small)
+    monkeypatch.setattr(E, "LOT", 100)
     rng = np.random.default_rng(10)
     base = rng.standard_normal((6, 32))
     x = np.vstack([b + rng.standard_normal((25, 32)) * s for b, s in zip(base, (0.1, 0.2, 0.25, 0.3, 0.4, 0.5))])
@@ -80,6 +116,41 @@ def test_vectors_equal_all_pairs(spark, monkeypatch, block):
     assert all(got[k][0] <= want[k][0] for k in want) and {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
 
 
+@pytest.mark.parametrize("n", [400, 3200])
+def test_vectors_recall_and_work(n):
+    """Pairs at 0.93 to 0.95 of one label: how many meet, and how many others do, at two sizes."""
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((n // 2, 64))
+    side -= (side * x[: n // 2]).sum(1, keepdims=True) * x[: n // 2]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.93, 0.95, (n // 2, 1))
+    x[n // 2 :] = cosine * x[: n // 2] + np.sqrt(1 - cosine**2) * side
+    p = E.tables_for(n, 0.93)
+    keys = E.hashes(x, p)
+    met = (keys[: n // 2] == keys[n // 2 :]).any(1).mean()
+    assert met >= 0.97
+    vain = sum(int((c * (c - 1) // 2).sum()) for c in (np.unique(keys[:, t], return_counts=True)[1] for t in range(p.tables)))
+    assert vain <= n * p.tables * (E.SPARE + 0.5)  # in proportion to vectors and tables, not to pairs
+
+
+def test_links_of_a_label_only(spark):
+    """A third of the vectors in one family, in two labels, with columns of any name."""
+    rng = np.random.default_rng(12)
+    centre = rng.standard_normal(16)
+    rows = [(i, [float(v) for v in (centre + rng.standard_normal(16) * 0.1 if i % 3 == 0 else rng.standard_normal(16))], f"{i % 2}", 7) for i in range(300)]
+    df = spark.createDataFrame(rows, "v long, e array<float>, class string, label int")
+    got = {r["v"]: r for r in E.near_duplicates(df, id_col="v", label="class", embedding="e").collect()}
+    x = np.array([r[1] for r in rows], np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (x @ x.T >= 0.93) & (np.array([r[2] for r in rows])[:, None] == np.array([r[2] for r in rows])[None])
+    np.fill_diagonal(linked, False)
+    want = components(300, np.argwhere(linked))
+    assert {i: r["component_id"] for i, r in got.items()} == dict(enumerate(want))
+    assert sum(r["n_links"] for r in got.values()) >= 0.98 * linked.sum() > 3000
+
+
 def test_components(spark):
     rng = random.Random(11)
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(120)] + [(7, 7), (500, None)]
