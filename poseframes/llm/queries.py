@@ -75,6 +75,9 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op2_source_mix": source_mix.ORACLE_SQL,
+    "op3_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op6_warc_fixity": warc_fixity.ORACLE_SQL,
+    "op10_jaccard_join": jaccard_join.ORACLE_SQL,
 }

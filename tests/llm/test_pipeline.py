@@ -69,3 +69,31 @@ def test_stages(spark):
     assert abs(sum(len(third[i].split()) for i in mixed) - 1.5 * words) < 0.5 * words
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     assert sorted((r["doc_id"], r["n_tokens"]) for r in kept["byte_bpe"]) == sorted((i, len(enc.encode_ordinary(third[i]))) for i in mixed)
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty and long texts, repeated rows, columns that clash, an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, _size long, key long, marks string, rep long"
+    words = ["alpha beta gamma", "delta epsilon zeta", "eta theta iota", "kappa lambda my"]
+    prose = lambda i: " ".join(words[(i * j) % 4] + f" w{i * 7 % 31}x{j}" for j in range(1, 40))
+    rows = [(i, prose(i), "aa", "s" if i % 3 else None, 1, 0.5, "x", 3, 4, "m", 5) for i in range(40)]
+    rows += [(100, None, None, None, None, None, None, None, None, None, None), (101, "", "aa", "s", 0, *rows[0][5:]), (None, prose(3), "aa", "s", 9, *rows[0][5:])]
+    rows += [rows[5], rows[5], (102, prose(7) + " the end", None, "s", 1, *rows[0][5:]), (103, "long text " * 60_000, "aa", "s", 1, *rows[0][5:]), (104, "123 !", "aa", "s", 5, *rows[0][5:])]
+    frame = spark.createDataFrame(rows, schema)
+    for docs in (frame, frame.limit(0)):
+        for name, stage in C.STAGES:
+            got = cut(stage(spark, docs, SF), name)
+            kept = [r["doc_id"] for r in got.collect()]
+            if name != "byte_bpe":
+                assert got.columns == frame.columns
+                assert {r["key"] for r in got.collect()} <= {4, None}
+            if name == "language_id" and docs is frame:
+                assert not {100, 101, 104} & set(kept) and kept.count(5) == 3 and {102, 103, None} <= set(kept)
+            if name == "jaccard_join" and docs is frame:
+                assert 102 not in kept and kept.count(5) == 3 and None in kept
+            if name == "suffix_dedup" and docs is frame:
+                assert len(kept) == docs_before and all(r["n_chars"] == len(r["text"]) for r in got.collect() if r["text"] is not None)
+            docs_before = len(kept)
+            docs = got if name != "byte_bpe" else docs
+        if docs_before == 0:
+            break
