@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
+from poseframes.llm import byte_bpe, compression_bands, conversation_repair, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
 from poseframes.llm.common import bound_batches
 
 
@@ -61,6 +61,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(_read(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_damage(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mix": op2_source_mix,
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -80,4 +85,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op6_warc_fixity": warc_fixity.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op13_conversation_repair": conversation_repair.ORACLE_SQL,
 }
