@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, conversation_repair, embedding_dedup, jaccard_join, language_id, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
+from poseframes.llm import byte_bpe, compression_bands, conversation_repair, embedding_dedup, jaccard_join, language_id, order_minhash, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
 from poseframes.llm.common import bound_batches
 
 
@@ -61,6 +61,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(_read(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repaired_damage(_read(spark, sf_dir, "conversations"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_order_minhash": op12_order_minhash,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
