@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poseframes.llm import byte_bpe, compression_bands, conversation_repair, embedding_dedup, jaccard_join, language_id, order_minhash, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
+from poseframes.llm import byte_bpe, compression_bands, conversation_repair, embedding_dedup, hard_negatives, jaccard_join, language_id, order_minhash, source_mix, suffix_dedup, token_counts, training_order, warc_fixity
 from poseframes.llm.common import bound_batches
 
 
@@ -61,6 +61,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(_read(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are wrong on purpose."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings").withColumn("label", moved), "id % 100 = 0")
+
+
 def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(_read(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_order_minhash": op12_order_minhash,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -90,5 +97,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_embedding_dedup": embedding_dedup.ORACLE_SQL,
     "op6_warc_fixity": warc_fixity.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
     "op13_conversation_repair": conversation_repair.ORACLE_SQL,
 }
