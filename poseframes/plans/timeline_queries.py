@@ -13,7 +13,7 @@ from poseframes.plans.frame_queries import check
 from poseframes.plans.scratch import new_folder
 from poseframes.plans.views import raw_landmarks, table, with_views
 from poseframes.sources import results as R
-from poseframes.streaming.ingest import ingest_new_clips
+from poseframes.streaming.ingest import ingest_new_clips, stored_clips
 
 QUERIES, SQL = {}, {}
 IDLE_ID = 0
@@ -208,10 +208,12 @@ _FPS = "CASE clip_id % 5 WHEN 0 THEN 25.0 WHEN 1 THEN 30.0 WHEN 2 THEN 29.97 WHE
 
 @query("I1_incremental_ingest", f"SELECT clip_id, count(*) AS n FROM (SELECT *, greatest(1, CAST(round_even({_FPS} / 10.0::DOUBLE, 0) AS BIGINT)) AS step FROM frame_clusters) WHERE frame_idx % step = 0 GROUP BY clip_id", [], ["frame_clusters"])
 def _(spark, sf):
+    """Clips come in pieces over files and calls, some pieces twice; in the end all frames are there."""
     folder = new_folder(spark, f"ingest-{uuid.uuid4().hex[:8]}")
-    raw = raw_landmarks(spark, sf).drop("event_id")
-    for part in (0, 1):  # files come in twice; the second time with a clip that is there already
-        own = raw.where((F.col("clip_id") % 2 == part) | ((F.col("clip_id") % 10 == 0) & F.lit(part == 1)))
-        own.withColumn("idx", F.col("idx").cast("long")).write.mode("append").parquet(f"{folder}/in")
+    raw = raw_landmarks(spark, sf).drop("event_id").withColumn("idx", F.col("idx").cast("long"))
+    piece = (F.col("clip_id") + F.floor(F.col("idx") / 3)) % 2
+    for part in (0, 1):
+        own = raw.where((piece == part) | ((F.col("clip_id") % 10 == 0) & F.lit(part == 1)))
+        own.write.mode("append").parquet(f"{folder}/in")
         ingest_new_clips(spark, f"{folder}/in", f"{folder}/store", f"{folder}/checkpoint")
-    return spark.read.schema("clip_id long, frame_idx long, batch long").parquet(f"{folder}/store").groupBy("clip_id").agg(F.count("*").alias("n"))
+    return stored_clips(spark, f"{folder}/store").select("clip_id", F.col("n_frames").alias("n"))

@@ -11,7 +11,7 @@ from poseframes.sources import attempts as A
 from poseframes.sources import catalog as C
 from poseframes.sources import clips as S
 from poseframes.sources import results as R
-from poseframes.streaming.ingest import RAW, ingest_new_clips
+from poseframes.streaming.ingest import RAW, ingest_new_clips, read_store, stored_clips
 
 
 def test_catalogue_over_many_lines(spark, tmp_path):
@@ -93,3 +93,38 @@ def test_no_clip_twice(spark, tmp_path):
     assert frames() == {1: 3, 2: 3, 3: 3, 4: 3}
     ingest_new_clips(spark, source, store, f"{marks}-lost")  # with a checkpoint that starts at 0 again
     assert frames() == {1: 3, 2: 3, 3: 3, 4: 3}
+
+
+def test_a_clip_in_many_files_triggers_and_calls(spark, tmp_path):
+    source, store, marks = (str(tmp_path / n) for n in ("in", "store", "marks"))
+    rows = [(c, i, 25.0, [(0.1 * i, 0.2, 0.3, 1.0)] * 33, None, [(0.5, 0.5, float(c))]) for c in (1, 2, 3) for i in range(40)]
+    every = {(c, i // 2) for c in (1, 2, 3) for i in range(0, 40, 2)}
+    stored = lambda: sorted((r["clip_id"], r["frame_idx"]) for r in read_store(spark, store).collect())
+
+    def put(some):
+        spark.createDataFrame(some, RAW).coalesce(1).write.mode("append").parquet(source)
+
+    for k in range(5):  # each file has a part of every clip, and some frames of the file before
+        put([r for r in rows if r[1] % 10 < 8 and (r[1] % 5 == k or r[1] % 5 == k - 1)])
+    ingest_new_clips(spark, source, store, marks, files_per_trigger=1)
+    assert stored() == sorted(x for x in every if x[1] * 2 % 10 < 8)
+    assert {(r["clip_id"], r["n_frames"], r["next_idx"]) for r in stored_clips(spark, store).collect()} == {(c, 16, 19) for c in (1, 2, 3)}
+    put([r for r in rows if r[1] % 10 >= 8])  # the gaps, in a later call
+    ingest_new_clips(spark, source, store, marks, files_per_trigger=1)
+    assert stored() == sorted(every)
+    ingest_new_clips(spark, source, store, f"{marks}-lost", files_per_trigger=2)
+    assert stored() == sorted(every)
+    one = read_store(spark, store).where("clip_id = 2 AND frame_idx = 3").first()
+    assert one["fps"] == 12.5 and one["xyz"][0] == pytest.approx(0.6) and one["mask"] == [True] * 15 + [False] * 21 + [True] * 21
+
+
+def test_a_batch_that_runs_again(spark, tmp_path):
+    """The driver ends between a batch's files and the checkpoint's note of it."""
+    source, store, marks = (str(tmp_path / n) for n in ("in", "store", "marks"))
+    for c in (1, 2):
+        raw(spark, c).coalesce(1).write.mode("append").parquet(source)
+        ingest_new_clips(spark, source, store, marks)
+    for name in ("1", ".1.crc"):
+        (tmp_path / "marks" / "commits" / name).unlink()
+    ingest_new_clips(spark, source, store, marks)
+    assert sorted(r["clip_id"] for r in read_store(spark, store).collect()) == [1] * 3 + [2] * 3
