@@ -30,29 +30,6 @@ def _clip(x: Column) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))
 
 
-def fill_missing_hands(xyz: Column, mask: Column) -> Column:
-    """A hand without any true mask falls onto its wrist."""
-
-    def hand(start: int, wrist: int) -> Column:
-        own = F.slice(xyz, 3 * start + 1, 3 * N_HAND)
-        there = F.exists(F.slice(mask, start + 1, N_HAND), lambda m: m)
-        return F.when(there, own).otherwise(F.flatten(F.array_repeat(F.slice(xyz, 3 * wrist + 1, 3), N_HAND)))
-
-    return F.concat(F.slice(xyz, 1, 3 * L_HAND), hand(L_HAND, L_WRI), hand(R_HAND, R_WRI))
-
-
-def center_and_scale(xyz: Column) -> Column:
-    """The middle of the shoulders (three numbers) and their distance, at least EPS."""
-    left, right = point(xyz, L_SHO), point(xyz, R_SHO)
-    return F.struct(*(((a + b) * 0.5).alias(n) for a, b, n in zip(left, right, "xyz", strict=True)), F.greatest(norm(minus(left, right)), F.lit(EPS)).alias("s"))
-
-
-def recenter(xyz: Column, frame: Column) -> Column:
-    """Every point relative to ``frame``, a column that ``center_and_scale`` made."""
-    center = F.array(frame["x"], frame["y"], frame["z"])
-    return F.transform(xyz, lambda v, i: (v - F.get(center, i % 3)) / frame["s"])
-
-
 def joint_angle(a: Vector, b: Vector, c: Vector) -> Column:
     """The angle at b in degrees."""
     v, w = minus(a, b), minus(c, b)
@@ -69,11 +46,6 @@ def angle_features(norm_xyz: Column) -> list[Column]:
     ]
 
 
-def descriptor(norm_xyz: Column) -> Column:
-    """All normalised coordinates, then the features at a like scale."""
-    return F.concat(norm_xyz, F.array(*(f / 45.0 for f in angle_features(norm_xyz))))
-
-
 def _bone(xyz: Column, a: int, b: int) -> Vector:
     """Unit direction from a to b with y up and z towards the viewer."""
     v = minus(point(xyz, b), point(xyz, a))

@@ -1,7 +1,7 @@
 """Features of many frames at once: a batch of frames is one matrix, a row a frame.
 
-The same numbers as ``functions.geometry`` gives for a single pose, as array operations: a lambda
-over 171 coordinates runs outside generated code and is several times slower. Map-only.
+Array operations, since a lambda over 171 coordinates runs outside generated code and is several times
+slower. Map-only.
 """
 
 from __future__ import annotations
@@ -33,42 +33,40 @@ def lists(rows: np.ndarray, good: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).reshape(-1)), mask=pa.array(~good))
 
 
+#: For each point the hand it belongs to (0 left, 1 right, 2 none), and where that hand hangs.
+_HAND = np.full(N_POINTS, 2)
+_HAND[L_HAND : L_HAND + N_HAND], _HAND[R_HAND : R_HAND + N_HAND] = 0, 1
+_WRIST = np.array([L_WRI, R_WRI, 0])
+#: Joints whose angle counts, between their two neighbours: elbows, then shoulders.
+_ANGLES = np.array([[L_SHO, L_ELB, L_WRI], [R_SHO, R_ELB, R_WRI], [R_SHO, L_SHO, L_ELB], [L_SHO, R_SHO, R_ELB]])
+
+
 def fill_missing_hands(xyz: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """A hand without any true mask falls onto its wrist. ``xyz`` is frames x points x 3."""
-    out = xyz.astype(np.float64)
-    for start, wrist in ((L_HAND, L_WRI), (R_HAND, R_WRI)):
-        gone = ~mask[:, start : start + N_HAND].any(1)
-        out[gone, start : start + N_HAND] = out[gone, wrist, None]
-    return out
+    """A hand without any true mask falls onto its wrist: every point is read from its own place or
+    from the wrist's. ``xyz`` is frames x points x 3."""
+    seen = np.stack([mask[:, _HAND == h].any(1) for h in (0, 1)] + [np.ones(len(mask), bool)], 1)
+    source = np.where(seen[:, _HAND], np.arange(N_POINTS), _WRIST[_HAND])
+    return np.take_along_axis(xyz.astype(np.float64), source[:, :, None], 1)
 
 
 def normalise(xyz: np.ndarray) -> np.ndarray:
     """Relative to the middle of the shoulders, in units of their distance."""
-    left, right = xyz[:, L_SHO], xyz[:, R_SHO]
-    size = np.maximum(_norm(left - right), EPS)
-    return (xyz - ((left + right) * 0.5)[:, None]) / size[:, None, None]
-
-
-def _norm(v: np.ndarray) -> np.ndarray:
-    return np.sqrt(v[:, 0] * v[:, 0] + v[:, 1] * v[:, 1] + v[:, 2] * v[:, 2])
-
-
-def _angle(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """The angle at b in degrees."""
-    v, w = a - b, c - b
-    dot = v[:, 0] * w[:, 0] + v[:, 1] * w[:, 1] + v[:, 2] * w[:, 2]
-    return np.degrees(np.arccos(np.clip(dot / ((_norm(v) + EPS) * (_norm(w) + EPS)), -1, 1)))
+    shoulders = xyz[:, [L_SHO, R_SHO]]
+    width = np.linalg.norm(np.diff(shoulders, axis=1), axis=2)
+    return (xyz - shoulders.mean(1, keepdims=True)) / np.maximum(width, EPS)[:, :, None]
 
 
 def descriptors(norm: np.ndarray) -> np.ndarray:
-    """All normalised coordinates, then seven features at a like scale."""
-    p = norm.transpose(1, 0, 2)
-    angles = [
-        _angle(p[L_SHO], p[L_ELB], p[L_WRI]), _angle(p[R_SHO], p[R_ELB], p[R_WRI]),
-        _angle(p[R_SHO], p[L_SHO], p[L_ELB]), _angle(p[L_SHO], p[R_SHO], p[R_ELB]),
-        (p[NOSE][:, 1] - p[L_WRI][:, 1]) * 45.0, (p[NOSE][:, 1] - p[R_WRI][:, 1]) * 45.0, _norm(p[L_WRI] - p[R_WRI]) * 45.0,
-    ]
-    return np.hstack([norm.reshape(len(norm), -1), np.stack(angles, 1) / 45.0])
+    """All normalised coordinates, then seven features at a like scale: four angles in units of 45
+    degrees, how far the nose is above each wrist (y points down), and the gap between the wrists."""
+    corner = norm[:, _ANGLES]
+    arms = corner[:, :, ::2] - corner[:, :, 1:2]
+    cosine = arms.prod(2).sum(2) / (np.linalg.norm(arms, axis=3) + EPS).prod(2)
+    angles = np.arccos(np.clip(cosine, -1, 1)) * (4 / np.pi)
+    wrists = norm[:, [L_WRI, R_WRI]]
+    height = norm[:, [NOSE], 1] - wrists[:, :, 1]
+    gap = np.linalg.norm(np.diff(wrists, axis=1), axis=2)
+    return np.hstack([norm.reshape(len(norm), WIDTH), angles, height, gap])
 
 
 def frame_features(frames: DataFrame, *wanted: str) -> DataFrame:

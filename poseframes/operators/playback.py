@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from poseframes.functions.geometry import lerp
@@ -23,25 +24,35 @@ def require_known(words: DataFrame, pose_map: DataFrame) -> DataFrame:
     return words
 
 
-def as_arrays(words: DataFrame) -> DataFrame:
-    """``clip_id, words``: a clip's words are few, so they go side by side in one row."""
-    return words.groupBy("clip_id").agg(F.sort_array(F.collect_list(F.struct("pos", "word", "start", "end"))).alias("words"))
-
-
-def word_index(words: Column, t: Column) -> Column:
-    """The first word that ends after t, else the last (from 0). Words may overlap."""
-    later = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: t < F.get(words, i)["end"])
-    return F.coalesce(F.get(later, F.lit(0)), F.size(words) - 1)
+def turns(words: DataFrame) -> DataFrame:
+    """``clip_id, t, at``: from ``t`` on, the word that is shown, with the next one. The word at an
+    instant is the first that ends after it, else the last, and words may overlap: so a word's turn
+    begins where all before it have ended, and a word that ends no later than one before has none."""
+    order = W.partitionBy("clip_id").orderBy("pos")
+    before = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    df = words.select(
+        "clip_id", "pos", "word", "start", "end", F.lead("word").over(order).alias("next_word"), before.alias("_before"), F.max("end").over(W.partitionBy("clip_id")).alias("_end"),
+    )
+    at = F.struct("word", "next_word", "start", "end")
+    own = df.where(F.col("_before").isNull() | (F.col("end") > F.col("_before"))).select("clip_id", F.coalesce("_before", F.lit(float("-inf"))).alias("t"), at.alias("at"))
+    # behind all ends, the last word, which has no next
+    return own.unionByName(df.where("next_word IS NULL").select("clip_id", F.col("_end").alias("t"), at.alias("at")))
 
 
 def pose_at_time(times: DataFrame, words: DataFrame) -> DataFrame:
     """``times`` (clip_id, t) with ``word``, ``next_word`` (null at the end) and ``weight``, how far
-    the pose has moved to the next: not at all for HOLD of the word's time, then evenly."""
-    df = times.join(as_arrays(words), "clip_id")
-    df = df.withColumn("_i", word_index(F.col("words"), F.col("t"))).withColumns({"_w": F.get("words", F.col("_i")), "_x": F.get("words", F.col("_i") + 1)})
-    local = (F.col("t") - F.col("_w.start")) / F.greatest(F.col("_w.end") - F.col("_w.start"), F.lit(1e-6))
-    weight = F.when(F.col("_x").isNull() | (local < HOLD), F.lit(0.0)).otherwise((local - HOLD) / (1 - HOLD))
-    return df.select(*times.columns, F.col("_w.word").alias("word"), F.col("_x.word").alias("next_word"), weight.alias("weight"))
+    the pose has moved to the next: not at all for HOLD of the word's time, then evenly.
+
+    Instants and words' turns of a clip are sorted by time together, and each instant takes the turn
+    that came last: linear in both. Times of clips without words are left out."""
+    own = [c for c in times.columns if c not in ("clip_id", "t")]
+    rows = times.select("clip_id", "t", F.struct(F.lit(1).alias("_"), *own).alias("_own")).unionByName(turns(words), allowMissingColumns=True)
+    order = W.partitionBy("clip_id").orderBy("t", F.col("_own").isNotNull()).rowsBetween(W.unboundedPreceding, W.currentRow)  # at one instant the turn is first
+    df = rows.withColumn("at", F.last("at", ignorenulls=True).over(order)).where(F.col("_own").isNotNull() & F.col("at").isNotNull())
+    local = (F.col("t") - F.col("at.start")) / F.greatest(F.col("at.end") - F.col("at.start"), F.lit(1e-6))
+    weight = F.when(F.col("at.next_word").isNull() | (local < HOLD), F.lit(0.0)).otherwise((local - HOLD) / (1 - HOLD))
+    places = {"clip_id": F.col("clip_id"), "t": F.col("t")}
+    return df.select(*(places.get(c, F.col("_own").getField(c)).alias(c) for c in times.columns), F.col("at.word").alias("word"), F.col("at.next_word").alias("next_word"), weight.alias("weight"))
 
 
 def playback_grid(words: DataFrame, steps: int = 1000) -> DataFrame:

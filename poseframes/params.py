@@ -12,7 +12,8 @@ L_HIP, R_HIP, NOSE = 12, 13, 14
 L_HAND, R_HAND = 15, 36
 EPS = 1e-6
 VIDEO_EXTENSIONS = [".mp4", ".mov", ".avi", ".mkv", ".webm", ".mpg", ".mpeg", ".m4v"]
-K_RANGE, K_STEPS, SEED = (12, 60), 8, 0
+K_VALUES = [12, 18, 24, 30, 36, 42, 48, 54, 60]
+STARTS, SWEEP_STARTS, SEED = 10, 3, 0
 MAX_FRAMES_FOR_FIT, K_SAMPLE, SILHOUETTE_SAMPLE = 200_000, 8_000, 4_000
 EDGE_FRAC = 0.12
 TOP_SIGN_FRAMES, TOP_SIGNS = 20_000, 8

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from poseframes.functions import geometry as G
 from poseframes.functions import naming as N
 from poseframes.operators import clusters as K
-from poseframes.params import MAX_FRAMES_FOR_FIT, N_POINTS, SILHOUETTE_SAMPLE
+from poseframes.operators import model as M
+from poseframes.params import K_SAMPLE, K_VALUES, MAX_FRAMES_FOR_FIT, N_POINTS, SILHOUETTE_SAMPLE, STARTS, SWEEP_STARTS
 from poseframes.plans.frame_queries import _BASE_NAME, _DESCRIBE, _IDLE, check, normalised
 from poseframes.plans.scratch import new_folder
 from poseframes.plans.views import POINTS, table, with_views
@@ -104,17 +104,37 @@ def _(spark, sf):
     return spark.createDataFrame([(K.silhouette(rows, "embedding", "label"),)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
-@query("A6_silhouette_sampled")
-def _(spark, sf):
-    """The same, not rounded."""
-    rows = K.fit_sample(table(spark, sf, "embeddings"), SILHOUETTE_SAMPLE, ["vec_id"])
-    return spark.createDataFrame([(K.silhouette(rows, "embedding", "label"),)], "silhouette double")
+def _scaled(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return K.scale(e, K.fit_scaler(e, "embedding"), "embedding")
+
+
+def _fitted(ks: list[int], starts: int, rounds: int, limit: int) -> list[tuple[str, str]]:
+    """K-means over scaled vectors in the other engine: ``fit`` has the centres of every k and start
+    after each round, ``judged`` the rows and squared distances of the last one's clusters, ``best``
+    the start of each k with the least."""
+    near = "SELECT k, s, vec_id, arg_min(c, struct_pack(d := list_distance(x, m), c := c)) AS c, min(list_distance(x, m)) AS d, any_value(x) AS x FROM {}, x GROUP BY k, s, vec_id"
+    means = f"SELECT k, s, c, list(v ORDER BY i) AS mean FROM (SELECT k, s, c, i, avg(x[i + 1]) AS v FROM ({near.format('fit')}), range(64) r(i) GROUP BY k, s, c, i) GROUP BY k, s, c"
+    return [
+        ("e", "SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS i FROM embeddings"),
+        ("m", "SELECT i, avg(v) AS mean, CASE WHEN stddev_pop(v) = 0 THEN 1 ELSE stddev_pop(v) END AS std FROM e GROUP BY i"),
+        ("x", f"SELECT vec_id, list((v - mean) / std ORDER BY i) AS x FROM e JOIN m USING (i) GROUP BY vec_id ORDER BY md5('0:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT {limit}"),
+        ("firsts", f"SELECT s, row_number() OVER (PARTITION BY s ORDER BY md5('0:' || CAST(s AS VARCHAR) || ':' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS c, x FROM x, range({starts}) r(s)"),
+        ("fit(round, k, s, c, m)", f"SELECT 0, k, s, c, x FROM firsts, (SELECT unnest({ks}) AS k) WHERE c < k UNION ALL SELECT round + 1, k, s, c, coalesce(mean, f.m) FROM fit f LEFT JOIN ({means}) USING (k, s, c) WHERE round < {rounds}"),
+        ("final", f"SELECT * FROM fit WHERE round = {rounds}"),
+        ("judged", f"SELECT k, s, c, count(*) AS n, sum(d * d) AS inertia FROM ({near.format('final')}) GROUP BY k, s, c"),
+        ("totals", "SELECT k, s, sum(inertia) AS inertia FROM judged GROUP BY k, s"),
+        ("best", "SELECT k, arg_min(s, struct_pack(i := round(inertia, CAST(5 - floor(log10(inertia)) AS INT)), s := s)) AS s FROM totals GROUP BY k"),
+    ]
 
 
-@query("A5_fit_kmeans")
+def _recursive(name: str) -> None:
+    SQL[name] = SQL[name].replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("A5_fit_kmeans", "SELECT CAST(c AS INT) AS cluster_id, coalesce(n, 0) AS n, round(list_sum(list_transform(m, lambda v, i: v * i)), 3) AS center_check FROM final JOIN best USING (k, s) LEFT JOIN judged USING (k, s, c)", _fitted([12], STARTS, K.ROUNDS, MAX_FRAMES_FOR_FIT), [])
 def _(spark, sf):
-    e = table(spark, sf, "embeddings")
-    return K.fit(K.scale(e, K.fit_scaler(e, "embedding"), "embedding"), ["vec_id"])[0]
+    return K.fit(_scaled(spark, sf), ["vec_id"], 12)[0].select("cluster_id", "n", check("center", 3).alias("center_check"))
 
 
 @query("A7_pick_k", "SELECT k, score FROM scores ORDER BY score DESC, k LIMIT 1", [("scores", "SELECT CAST(12 + 6 * (user_id % 9) AS INT) AS k, round(avg(value), 1) AS score FROM events GROUP BY user_id % 9")], [])
@@ -123,10 +143,23 @@ def _(spark, sf):
     return K.pick_k(scores)
 
 
-@query("A7_sweep_k")
+_SWEPT = [
+    *_fitted(K_VALUES, SWEEP_STARTS, K.SWEEP_ROUNDS, K_SAMPLE),
+    ("judges", "SELECT * FROM x ORDER BY md5('1:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 4000"),
+    ("labelled", "SELECT k, vec_id, arg_min(c, struct_pack(d := list_distance(x, m), c := c)) AS c FROM final JOIN best USING (k, s), judges GROUP BY k, vec_id"),
+    ("apart", "SELECT a.vec_id AS a, b.vec_id AS b, CASE WHEN a.vec_id = b.vec_id THEN 0 ELSE list_distance(a.x, b.x) END AS d FROM judges a, judges b"),
+    ("sums", "SELECT p.k, a, p.c AS own, q.c, count(*) AS n, sum(d) AS d FROM apart JOIN labelled p ON p.vec_id = a JOIN labelled q ON q.vec_id = b AND q.k = p.k GROUP BY ALL"),
+    ("sides", "SELECT k, a, max(CASE WHEN own = c THEN n END) AS size, max(CASE WHEN own = c THEN d / greatest(n - 1, 1) END) AS mine, min(CASE WHEN own <> c THEN d / n END) AS other FROM sums GROUP BY k, a"),
+]
+
+
+@query("A7_sweep_k", "SELECT CAST(k AS INT) AS k, round(avg(CASE WHEN size = 1 THEN 0 ELSE (other - mine) / greatest(mine, other) END), 6) AS score FROM sides GROUP BY k", _SWEPT, [])
 def _(spark, sf):
-    e = table(spark, sf, "embeddings")
-    return K.sweep_k(K.scale(e, K.fit_scaler(e, "embedding"), "embedding"), ["vec_id"])
+    return K.sweep_k(_scaled(spark, sf), ["vec_id"]).select("k", F.round("score", 6).alias("score"))
+
+
+_recursive("A5_fit_kmeans")
+_recursive("A7_sweep_k")
 
 
 @query("O3_fit_sample", f"""SELECT clip_id, frame_idx, 300 AS of FROM (SELECT clip_id, frame_idx FROM frame_clusters
@@ -173,26 +206,25 @@ def _(spark, sf):
     return N.unique_cluster_names(c, N.choose_idle(c))
 
 
-@query("A12_fit_summary", "SELECT 6 AS k, CAST(NULL AS DOUBLE) AS silhouette, count(*) AS frames, (SELECT name FROM named WHERE is_idle) AS idle FROM frame_clusters", _CHOICE)
+def fit_frames(spark, sf, k):
+    """A model of all frames' descriptors, stored and loaded again."""
+    frames = normalised(spark, sf, "norm", "descriptor").select("clip_id", "frame_idx", "n_frames", "norm", "descriptor")
+    frames = _stored(spark, frames.join(table(spark, sf, "clips").select("clip_id", "label"), "clip_id"), "features")
+    folder = new_folder(spark, "models")
+    M.store_model(M.fit_model(frames, k), folder)
+    return M.load_model(spark, folder)
+
+
+# The fit's idle cluster is always called so; which cluster it is, A11 and W9 have.
+@query("A12_fit_summary", "SELECT 6 AS k, CAST(NULL AS DOUBLE) AS silhouette, count(*) AS frames, 'IDLE' AS idle FROM frame_clusters")
 def _(spark, sf):
-    c = _candidates(spark, sf)[2]
-    fitted = spark.createDataFrame([(6, None)], T.StructType([T.StructField("k", T.IntegerType()), T.StructField("silhouette", T.DoubleType())]))
-    return K.fit_summary(table(spark, sf, "frame_clusters"), fitted, N.unique_cluster_names(c, N.choose_idle(c)))
+    return fit_frames(spark, sf, 6).summary
 
 
-@query("A12_fit_summary_fitted")
+@query("A12_fit_summary_swept")
 def _(spark, sf):
-    """Of clusters that are fitted to the frames' descriptors, k chosen; the query above has the
-    table's clusters and a given k, as its SQL has."""
-    frames = normalised(spark, sf, "norm", "descriptor").select("clip_id", "frame_idx", "n_frames", "norm", "descriptor")
-    scaled = _stored(spark, K.scale(frames, K.fit_scaler(frames, "descriptor"), "descriptor").drop("descriptor"), "scaled")
-    centers, fitted = K.fit(scaled, ["clip_id", "frame_idx"])
-    assigned = _stored(spark, K.edge_flags(K.assign_clusters(scaled, centers, "scaled").drop("scaled")), "assigned")
-    ids = centers.select("cluster_id")
-    d = K.cluster_mean_pose(assigned, ids, "norm", 3 * N_POINTS).withColumn("description", N.describe_pose(F.col("average_pose")))
-    d = d.withColumns({"base": N.base_pose_name(F.col("description")), "looks_idle": N.is_idle_pose(F.col("description"))})
-    c = _stored(spark, K.cluster_stats(assigned, ids).join(d, "cluster_id"), "candidates")
-    return K.fit_summary(assigned, fitted, N.unique_cluster_names(c, N.choose_idle(c)))
+    """The same with k chosen by the sweep."""
+    return fit_frames(spark, sf, None).summary
 
 
 def pose_map(spark, sf):
@@ -208,7 +240,7 @@ _SIGNS = ("signs", "SELECT cluster_id, string_agg(label, ', ' ORDER BY rank) FIL
 def _(spark, sf):
     m, folder = pose_map(spark, sf), new_folder(spark, "pose-map")
     R.write_pose_map(m, folder)
-    back = R.read_pose_map(spark, folder, m)
+    back = R.read_pose_map(spark, folder)
     return back.select("name", "cluster_id", "frames", "share", "edge_rate", "is_idle", "description.side", "description.zone", "description.hands_gap", F.size("top_signs").cast("long").alias("n_signs"), check("average_pose", 0).alias("pose_check"))  # coarse: stored poses have 4 digits, and engines may round a half apart
 
 

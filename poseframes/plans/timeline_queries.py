@@ -148,25 +148,24 @@ def _(spark, sf):
     return words(spark, sf).select("word").subtract(_small_map(spark, sf))
 
 
-_STEPS_OF = 20
 _AT = [
     *STEPS,
-    ("grid", f'SELECT clip_id, CAST(step AS INT) AS step, step / {_STEPS_OF}::DOUBLE * e AS t FROM (SELECT clip_id, arg_max("end", pos) AS e FROM words GROUP BY clip_id), (SELECT unnest(range({_STEPS_OF + 1})) AS step)'),
+    ("grid", 'SELECT clip_id, CAST(step AS INT) AS step, step / 1000::DOUBLE * e AS t FROM (SELECT clip_id, arg_max("end", pos) AS e FROM words GROUP BY clip_id), (SELECT unnest(range(1001)) AS step)'),
     ("at_t", """SELECT clip_id, step, t, word, next_word, CASE WHEN next_word IS NULL OR local < 0.7::DOUBLE THEN 0 ELSE (local - 0.7::DOUBLE) / (1 - 0.7::DOUBLE) END AS weight FROM (
       SELECT *, (t - start) / greatest("end" - start, 1e-6::DOUBLE) AS local FROM (
-        SELECT g.*, w.word, w.start, w."end", w.next_word, row_number() OVER (PARTITION BY g.clip_id, g.step ORDER BY CASE WHEN t < w."end" THEN 0 ELSE 1 END, CASE WHEN t < w."end" THEN pos ELSE -pos END) AS rn
-        FROM grid g JOIN (SELECT *, lead(word) OVER (PARTITION BY clip_id ORDER BY pos) AS next_word FROM words) w ON g.clip_id = w.clip_id) WHERE rn = 1)"""),
+        SELECT g.clip_id, step, t, coalesce(arg_min(w, pos) FILTER (WHERE t < w."end"), arg_max(w, pos)) AS w FROM grid g JOIN (SELECT *, lead(word) OVER (PARTITION BY clip_id ORDER BY pos) AS next_word FROM words) w ON g.clip_id = w.clip_id GROUP BY g.clip_id, step, t), LATERAL (SELECT w.word, w.next_word, w.start, w."end"))"""),
+    ("checks", "SELECT name, sum((3 * j + 1) * x + (3 * j + 2) * y + (3 * j + 3) * z) AS ck FROM mean JOIN cluster_names USING (cluster_id) GROUP BY name"),
 ]
 
 
 def _at(spark, sf):
     w = words(spark, sf)
-    return B.pose_at_time(B.playback_grid(w, _STEPS_OF), w)
+    return B.pose_at_time(B.playback_grid(w), w)
 
 
 @query("F13_playback_grid", "SELECT clip_id, step, round(t, 6) AS t FROM grid", _AT)
 def _(spark, sf):
-    return B.playback_grid(words(spark, sf), _STEPS_OF).select("clip_id", "step", F.round("t", 6).alias("t"))
+    return B.playback_grid(words(spark, sf)).select("clip_id", "step", F.round("t", 6).alias("t"))
 
 
 @query("J7_pose_at_time", "SELECT clip_id, step, word, next_word, round(weight, 6) AS weight FROM at_t", _AT)
@@ -174,35 +173,13 @@ def _(spark, sf):
     return _at(spark, sf).select("clip_id", "step", "word", "next_word", F.round("weight", 6).alias("weight"))
 
 
-@query("F12_playback_pose", """SELECT clip_id, step, word, round(sum((3 * p.j + 1) * (p.x + (coalesce(q.x, p.x) - p.x) * weight) + (3 * p.j + 2) * (p.y + (coalesce(q.y, p.y) - p.y) * weight) + (3 * p.j + 3) * (p.z + (coalesce(q.z, p.z) - p.z) * weight)), 3) AS pose_check
-  FROM at_t JOIN cluster_names n ON at_t.word = n.name JOIN mean p ON p.cluster_id = n.cluster_id LEFT JOIN cluster_names m ON at_t.next_word = m.name LEFT JOIN mean q ON q.cluster_id = m.cluster_id AND q.j = p.j GROUP BY clip_id, step, word""", [*_AT, *_MEAN])
+# The check is linear in the pose, so the one of a blend is the blend of those of the two poses.
+@query("F12_playback_pose", "SELECT clip_id, step, word, round(p.ck + (coalesce(q.ck, p.ck) - p.ck) * weight, 3) AS pose_check FROM at_t JOIN checks p ON p.name = word LEFT JOIN checks q ON q.name = next_word", [*_AT[:-1], *_MEAN, _AT[-1]])
 def _(spark, sf):
     poses = _poses(spark, sf).join(table(spark, sf, "cluster_names"), "cluster_id").select("name", "average_pose")
     return B.playback_pose(_at(spark, sf), poses).select("clip_id", "step", "word", check("pose", 3).alias("pose_check"))
 
 
-# The three above run on the 20 places of their SQL; these on all the places of the scrub bar.
-def _at_all(spark, sf):
-    w = words(spark, sf)
-    return B.pose_at_time(B.playback_grid(w), w)
-
-
-@query("F13_playback_grid_whole")
-def _(spark, sf):
-    return B.playback_grid(words(spark, sf))
-
-
-@query("J7_pose_at_time_whole")
-def _(spark, sf):
-    return _at_all(spark, sf).select("clip_id", "step", "word", "next_word", "weight")
-
-
-@query("F12_playback_pose_whole")
-def _(spark, sf):
-    poses = _poses(spark, sf).join(table(spark, sf, "cluster_names"), "cluster_id").select("name", "average_pose")
-    return B.playback_pose(_at_all(spark, sf), poses).select("clip_id", "step", "word", "pose")
-
-
 _FPS = "CASE clip_id % 5 WHEN 0 THEN 25.0 WHEN 1 THEN 30.0 WHEN 2 THEN 29.97 WHEN 3 THEN 25.0 ELSE 5.0 END::DOUBLE"
 
 
