@@ -31,11 +31,18 @@ class RunLengthIndex:
         self.k, self.text, n = k, text, len(text)
         self.ends, self.owners = ends, np.asarray(owners, np.int64)
         string = np.repeat(np.arange(len(strings)), sizes + 1)
-        rows, prefix = _suffix_order(text, k)
+        rows, prefix, self.packed = _suffix_order(text, k)
+        self.ranks = np.append(prefix, -1)
         bwt = text[rows - 1]  # row of position 0 gets the last symbol
         heads = np.flatnonzero(np.r_[True, bwt[1:] != bwt[:-1]])
         self.heads, self.symbol = heads, bwt[heads].astype(np.int64)
-        lengths = np.diff(np.r_[heads, n])
+        self.bounds = np.append(heads, n)
+        lengths = np.diff(self.bounds)
+        # a bit for each row that begins a run, and how many do before each word of 64
+        bits = np.zeros((n // 64 + 1) * 64, bool)
+        bits[heads] = True
+        self.words = np.packbits(bits, bitorder="little").view("<u8")
+        self.before = np.r_[0, np.cumsum(np.bitwise_count(self.words))].astype(np.int64)
         self.first, self.last = rows[heads], rows[heads + lengths - 1]
         # runs by symbol: key of each and the rank and position that LF gives its first row
         order = np.argsort(self.symbol, kind="stable")
@@ -84,7 +91,7 @@ class RunLengthIndex:
             lanes = int(np.searchsorted(-sizes, -step))  # those longer than step
             row, pos, length = row[:lanes], pos[:lanes], length[:lanes]
             want = flat[stop[:lanes] - 1 - step]
-            run = np.searchsorted(self.heads, row, side="right") - 1
+            run = self._run(row)
             other = np.flatnonzero(self.symbol[run] != want) if step else np.arange(lanes)
             if len(other):
                 c = want[other]
@@ -99,7 +106,7 @@ class RunLengthIndex:
                 use_up = up >= down
                 chosen = np.where(use_up, above, below)
                 run[other] = chosen
-                row[other] = np.where(use_up, np.append(self.heads, len(self.text))[chosen + 1] - 1, self.heads[chosen])
+                row[other] = np.where(use_up, self.bounds[chosen + 1] - 1, self.heads[chosen])
                 pos[other] = np.where(use_up, self.last[above], self.first[below])
                 length[other] = np.maximum(up, down)
                 gone = other[length[other] < 0]  # the symbol is nowhere in the text
@@ -111,44 +118,65 @@ class RunLengthIndex:
             row[gone], pos[gone], length[gone] = 0, self.first[0], 0
             yield order[:lanes], sizes[:lanes] - 1 - step, length, row, pos
 
+    def _run(self, row: np.ndarray) -> np.ndarray:
+        """The run that each row is in: how many runs begin up to it."""
+        word = row >> 6
+        upto = (np.uint64(2) << (row & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[word] + np.bitwise_count(self.words[word] & upto) - 1
+
     def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """How many symbols the text has in common from a and from b on, ``most`` at most."""
-        out = np.zeros(len(a), np.int64)
-        live = np.flatnonzero(most > 0)
-        n, off = len(self.text), 0
-        while len(live):
-            x, y = a[live, None] + np.arange(off, off + 8), b[live, None] + np.arange(off, off + 8)
-            same = (self.text[np.minimum(x, n - 1)] == self.text[np.minimum(y, n - 1)]) & (x < n) & (y < n)
-            got = np.where(same.all(1), 8, same.argmin(1))
+        """How many symbols the text has in common from a and from b on, ``most`` at most. Among so
+        many from one of them there is no end of a string, so the zeros behind the text agree with none."""
+        out, n = np.zeros(len(a), np.int64), len(self.text)
+
+        def compare(live: np.ndarray) -> np.ndarray:
+            """Add the symbols that agree of the next WIDTH; those to go on with."""
+            at = out[live]
+            differ = self.packed[np.minimum(a[live] + at, n)] ^ self.packed[np.minimum(b[live] + at, n)]
+            got = np.zeros(len(live), np.int64)
+            for i in range(WIDTH):
+                got += differ < _BELOW[i]
             out[live] += got
-            off += 8
-            live = live[(got == 8) & (out[live] < most[live])]
+            return live[(got == WIDTH) & (at + WIDTH < most[live])]
+
+        left = compare(np.flatnonzero(most > 0))
+        long = left
+        while len(long):  # DEPTH symbols at once, where so many agree
+            at = out[long]
+            long = long[self.ranks[np.minimum(a[long] + at, n)] == self.ranks[np.minimum(b[long] + at, n)]]
+            out[long] += DEPTH
+            long = long[out[long] < most[long]]
+        left = left[out[left] < most[left]]
+        while len(left):
+            left = compare(left)
         return np.minimum(out, most)
 
 
-#: Symbols that the ranks kept from the sort tell apart.
-DEPTH = 28
+#: Symbols of 9 bits that are packed into one number, and those that the ranks kept from the sort tell apart.
+WIDTH, DEPTH = 7, 28
+_BELOW = [np.uint64(1 << 9 * i) for i in range(WIDTH)]
 
 
-def _suffix_order(text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in the order of their suffixes (prefix doubling), and ranks by the first
-    DEPTH symbols. Two positions agree in k symbols, DEPTH <= k <= 2 * DEPTH, if their ranks
+def _suffix_order(text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions in the order of their suffixes (prefix doubling), ranks by the first DEPTH symbols,
+    and the first WIDTH symbols from each position on (and from the end on, where zeros follow). Two positions agree in k symbols, DEPTH <= k <= 2 * DEPTH, if their ranks
     and those of the positions k - DEPTH behind are equal."""
     n = len(text)
-    padded = np.append(text.astype(np.uint64), np.zeros(7, np.uint64))
-    key = np.zeros(n, np.uint64)
-    for i in range(7):
-        key = (key << np.uint64(9)) | padded[i : i + n]
+    padded = np.append(text.astype(np.uint64), np.zeros(WIDTH + 1, np.uint64))
+    packed = np.zeros(n + 1, np.uint64)
+    for i in range(WIDTH):
+        packed = (packed << np.uint64(9)) | padded[i : i + n + 1]
+    key = packed[:n]
     order = np.argsort(key)
     rank = np.empty(n, np.int64)
     rank[order] = _ranks(key[order])
-    depth, prefix = 7, None
+    depth, prefix = WIDTH, None
     tied = _tied(rank[order])  # rows whose suffix is not told apart yet
     while True:
         if depth == DEPTH:
             prefix = rank.copy()
         if not len(tied) and prefix is not None:
-            return order, prefix
+            return order, prefix, packed
         if len(tied):
             rows = order[tied]
             second = np.where(rows + depth < n, rank[np.minimum(rows + depth, n - 1)] + 1, 0)

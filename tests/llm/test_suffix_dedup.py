@@ -195,7 +195,7 @@ def test_order_of_suffixes():
     for alphabet, n in ((2, 300), (4, 900), (1, 70), (200, 500)):
         text = np.r_[rng.integers(1, alphabet + 1, n), 0, rng.integers(1, alphabet + 1, n), 0].astype(np.int16)
         text[n // 2 : n] = text[: n - n // 2]
-        order, prefix = _suffix_order(text, 50)
+        order, prefix, _ = _suffix_order(text, 50)
         raw = [tuple(text[i:]) for i in range(len(text))]
         assert order.tolist() == sorted(range(len(text)), key=raw.__getitem__)
         cut = [tuple(np.r_[text[i : i + DEPTH], np.zeros(DEPTH, np.int16)][:DEPTH]) for i in range(len(text))]
