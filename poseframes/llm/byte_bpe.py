@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import struct
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -32,6 +33,8 @@ LOOK = 3
 #: LONGEST characters and stretches of more than SHORT bytes are not kept, so memos are small.
 MEMO, MEMO_PARTS = 60_000, 40_000
 LONGEST, SHORT = 48, 8
+#: Bytes of a window up to which neighbours are looked through one by one.
+PLAIN = 128
 
 _NONE = 1 << 62
 
@@ -51,6 +54,8 @@ class ByteBPE:
     def merge(self, data: bytes) -> list[int]:
         """The definition, for windows over a seam: join the neighbours of least rank, leftmost first,
         while any has one."""
+        if len(data) > PLAIN:
+            return self._merge_long(data)
         rank = self.ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
         joint = [rank(data[i : i + 2], _NONE) for i in range(len(data) - 1)]
@@ -67,6 +72,31 @@ class ByteBPE:
                 joint[i - 1] = rank(parts[i - 1] + parts[i], _NONE)
         return [self.ranks[p] for p in parts]
 
+    def _merge_long(self, data: bytes) -> list[int]:
+        """The same by a heap of neighbours and a linked list of parts, so that time grows with
+        n log n. A neighbour in the heap counts while its two parts still begin and end where they did."""
+        rank, n = self.ranks.get, len(data)
+        end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, stop = heappop(heap)
+            j = after[i]
+            if j is None or j >= n or end[j] != stop:
+                continue
+            end[i], after[i], after[j] = stop, after[j], None
+            if after[i] < n:
+                before[after[i]] = i
+                if (r := rank(data[i : end[after[i]]])) is not None:
+                    heappush(heap, (r, i, end[after[i]]))
+            if before[i] >= 0 and (r := rank(data[before[i] : stop])) is not None:
+                heappush(heap, (r, before[i], stop))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[data[i : end[i]]])
+            i = after[i]
+        return out
+
     def _fits_anew(self, pair: int) -> bool:
         a, b = pair >> 32, pair & 0xFFFFFFFF
         return self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
