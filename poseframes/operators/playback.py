@@ -71,6 +71,13 @@ def playback_pose(at: DataFrame, poses: DataFrame) -> DataFrame:
     return df.withColumn("pose", F.when(F.col("weight") == 0, F.col("_p")).otherwise(lerp(F.col("_p"), F.col("_q"), F.col("weight")))).drop("_p", "_q")
 
 
+def play_stored(timelines: DataFrame, poses: DataFrame, steps: int = 1000) -> DataFrame:
+    """``name, step, t, word, next_word, weight, pose`` of saved timelines (see ``read_timelines``) at
+    evenly spaced places; an error if they use a word that ``poses`` lacks."""
+    words = require_known(timelines.withColumnRenamed("name", "clip_id"), poses)
+    return playback_pose(pose_at_time(playback_grid(words, steps), words), poses).withColumnRenamed("clip_id", "name")
+
+
 def pose_extents(poses: DataFrame) -> DataFrame:
     """The box, ``x, y, w, h``, that holds all mirrored poses with room around them."""
     p = poses.select(F.posexplode("average_pose").alias("i", "v"))

@@ -16,8 +16,10 @@ def _clip() -> WindowSpec:
     return W.partitionBy("clip_id")
 
 
-def by_clip(frames: DataFrame) -> DataFrame:
-    return frames.select("clip_id", "frame_idx", "cluster_id").repartition("clip_id")
+def by_clip(frames: DataFrame, dealt: bool = False) -> DataFrame:
+    """Three integers a frame, dealt out by clip unless they are (see ``write_bucketed``)."""
+    frames = frames.select("clip_id", "frame_idx", "cluster_id")
+    return frames if dealt else frames.repartition("clip_id")
 
 
 def median_smooth(frames: DataFrame, w: int = SMOOTH_WINDOW) -> DataFrame:
@@ -46,6 +48,32 @@ def run_length(frames: DataFrame) -> DataFrame:
     return runs.drop("_run").withColumn("clip_end", F.max("end").over(_clip()))
 
 
+#: Frames of a piece of a long recording.
+PIECE = 100_000
+
+
+def run_length_in_pieces(frames: DataFrame, piece: int = PIECE) -> DataFrame:
+    """What ``run_length`` gives of frames that ``median_smooth`` has gone over with its usual window,
+    but no recording is one task: frames are dealt out by pieces of clips. What a piece has to know of
+    the others is the cluster beside either border; a row a piece carries it. Runs that go on over a
+    border are put together at the end, when only runs are left."""
+    f = frames.select("clip_id", "frame_idx", "cluster_id", F.floor(F.col("frame_idx") / piece).alias("_piece")).repartition("clip_id", "_piece")
+    ends = f.groupBy("clip_id", "_piece").agg(F.min_by("cluster_id", "frame_idx").alias("_first"), F.max_by("cluster_id", "frame_idx").alias("_last"), F.count("*").alias("_n"))
+    beside = _clip().orderBy("_piece")
+    ends = ends.select("clip_id", "_piece", F.lag("_last").over(beside).alias("_before"), F.lead("_first").over(beside).alias("_after"), F.sum("_n").over(_clip()).alias("_frames"))
+    order = W.partitionBy("clip_id", "_piece").orderBy("frame_idx")
+    own = F.col("cluster_id")
+    around = [F.coalesce(F.lag("cluster_id").over(order), "_before", own), own, F.coalesce(F.lead("cluster_id").over(order), "_after", own)]
+    middle = around[0] + around[1] + around[2] - F.greatest(*around) - F.least(*around)
+    smooth = f.join(ends, ["clip_id", "_piece"]).withColumn("cluster_id", F.when(F.col("_frames") < SMOOTH_WINDOW, own).otherwise(middle))
+    new = F.coalesce((F.lag("cluster_id").over(order) != own).cast("int"), F.lit(0))
+    runs = smooth.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order)).groupBy("clip_id", "_piece", "_run").agg(
+        F.min("frame_idx").alias("start"), (F.max("frame_idx") + 1).alias("end"), F.any_value("cluster_id").alias("cluster_id")
+    )
+    runs = merge_adjacent_runs(runs.select("clip_id", "start", "end", "cluster_id", F.lit(None).cast("long").alias("clip_end")).repartition("clip_id"))
+    return runs.withColumn("clip_end", F.max("end").over(_clip()))
+
+
 def drop_short_runs(runs: DataFrame, idle_id: int, least: int = MIN_SEGMENT_FRAMES) -> DataFrame:
     """Runs of ``least`` frames or more, idle ones at either end of the clip, and the only run of a
     clip. If that leaves none, the longest, the first among equals."""
@@ -121,14 +149,17 @@ def name_words(words: DataFrame, names: DataFrame) -> DataFrame:
     return words.join(names.select("cluster_id", F.col("name").alias("word")), "cluster_id")
 
 
-def segments_of(frames: DataFrame, idle_id: int) -> DataFrame:
-    """The stretched runs of every clip, before trimming."""
-    return stretch_runs(merge_adjacent_runs(drop_short_runs(run_length(median_smooth(by_clip(frames))), idle_id)))
+def segments_of(frames: DataFrame, idle_id: int, dealt: bool = False, piece: int | None = None) -> DataFrame:
+    """The stretched runs of every clip, before trimming. With ``piece`` long recordings are worked on
+    in pieces of so many frames."""
+    runs = run_length_in_pieces(frames, piece) if piece else run_length(median_smooth(by_clip(frames, dealt)))
+    return stretch_runs(merge_adjacent_runs(drop_short_runs(runs, idle_id)))
 
 
-def encode(frames: DataFrame, clips: DataFrame, names: DataFrame, idle_id: int, keep_all: bool = False) -> DataFrame:
-    """``clip_id, pos, word, cluster_id, start, end, duration`` of every clip."""
-    padded = pad_idle(trim_to_idle(segments_of(frames, idle_id), idle_id, keep_all), idle_id)
+def encode(frames: DataFrame, clips: DataFrame, names: DataFrame, idle_id: int, keep_all: bool = False, dealt: bool = False) -> DataFrame:
+    """``clip_id, pos, word, cluster_id, start, end, duration`` of every clip. ``dealt``: the frames'
+    partitions hold whole clips already."""
+    padded = pad_idle(trim_to_idle(segments_of(frames, idle_id, dealt), idle_id, keep_all), idle_id)
     return name_words(word_times(padded, clips), names).select("clip_id", "pos", "word", "cluster_id", "start", "end", "duration")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from poseframes.functions import paths as P
+from poseframes.operators import extraction as X
 from poseframes.plans.scratch import new_folder
-from poseframes.plans.views import table, with_views
+from poseframes.plans.views import raw_landmarks, table, with_views
 from poseframes.sources import attempts as T
 from poseframes.sources import catalog as C
 from poseframes.sources import clips as S
@@ -200,3 +201,26 @@ def _(spark, sf):
     return C.metadata_union({s: m.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}).groupBy("split").agg(F.count("*").alias("n"))
 
 
+
+
+_RATE = "CASE doc_id % 5 WHEN 0 THEN 25.0 WHEN 1 THEN 30.0 WHEN 2 THEN 29.97 WHEN 3 THEN 25.0 ELSE 5.0 END::DOUBLE"
+
+
+@query("M11_extract_flow", ["media_files", "metadata", "frame_clusters"], "SELECT archive, count(n) AS done, count(*) - count(n) AS failed, CAST(coalesce(sum(n), 0) AS BIGINT) AS frames FROM tried GROUP BY ROLLUP (archive)", [
+    ("videos", f"SELECT doc_id, split_part(rel_path, '/', 1) AS archive, greatest(1, CAST(round_even({_RATE} / 10.0::DOUBLE, 0) AS BIGINT)) AS step FROM media_files WHERE {_VIDEO} AND {_BASE.format('rel_path')} IN (SELECT {_BASE.format('video_path')} FROM metadata WHERE include_50)"),
+    ("tried", "SELECT v.archive, nullif(count(f.clip_id), 0) AS n FROM videos v LEFT JOIN frame_clusters f ON f.clip_id = v.doc_id AND f.frame_idx % v.step = 0 GROUP BY v.doc_id, v.archive"),
+])
+def _(spark, sf):
+    """A first run over some of the files, a second over all: list, choose, skip, store, report."""
+    media, folder = table(spark, sf, "media_files"), new_folder(spark, "extracted")
+    landmarks = raw_landmarks(spark, sf).join(media.select(F.col("doc_id").alias("clip_id"), "rel_path"), "clip_id").drop("clip_id", "event_id")
+    paths, metadata = media.select("rel_path"), table(spark, sf, "metadata")
+    for run, limit in ((1, 40), (2, None)):
+        attempts = X.extract(X.choose_videos(paths, metadata, limit=limit), landmarks, folder, run)
+        T.append_attempts(attempts, f"{folder}-log")
+    log = spark.read.parquet(f"{folder}-log").where("run_id = 2")
+    clips, frames = X.stored_clips(spark, folder)
+    stored = frames.groupBy("clip_id").count().join(clips, "clip_id").join(log, "source")
+    per = stored.rollup("archive").agg(F.sum("count").alias("frames"))
+    report = T.extraction_report(log)
+    return report.join(per, report["archive"].eqNullSafe(per["archive"]), "left").select(report["archive"], "done", "failed", F.coalesce("frames", F.lit(0)).alias("frames"))

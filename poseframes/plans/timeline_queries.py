@@ -12,6 +12,7 @@ from poseframes.plans.cluster_queries import _MEAN, _poses
 from poseframes.plans.frame_queries import check
 from poseframes.plans.scratch import new_folder
 from poseframes.plans.views import raw_landmarks, table, with_views
+from poseframes.sources import clips as S
 from poseframes.sources import results as R
 from poseframes.streaming.ingest import ingest_new_clips, stored_clips
 
@@ -80,6 +81,12 @@ def _(spark, sf):
     return _runs(spark, sf).select("clip_id", "start", "end", "cluster_id")
 
 
+@query("W3_run_length_in_pieces", 'SELECT clip_id, start, stop AS "end", cluster_id, clip_end FROM runs')
+def _(spark, sf):
+    """In pieces so short that most clips have several."""
+    return L.run_length_in_pieces(frames(spark, sf), 7).select("clip_id", "start", "end", "cluster_id", "clip_end")
+
+
 @query("W4_drop_short_runs", 'SELECT clip_id, start, stop AS "end", cluster_id FROM kept')
 def _(spark, sf):
     return L.drop_short_runs(_runs(spark, sf), IDLE_ID).select("clip_id", "start", "end", "cluster_id")
@@ -180,6 +187,24 @@ def _(spark, sf):
     return B.playback_pose(_at(spark, sf), poses).select("clip_id", "step", "word", check("pose", 3).alias("pose_check"))
 
 
+@query("M10_stored_playback", """SELECT c.source AS name, step, word, round(p.ck + (coalesce(q.ck, p.ck) - p.ck) * weight, 3) AS pose_check
+  FROM at_t JOIN clips c ON c.clip_id = at_t.clip_id JOIN checks p ON p.name = word LEFT JOIN checks q ON q.name = next_word""", [*_AT[:-1], *_MEAN, _AT[-1]])
+def _(spark, sf):
+    """Timelines from saved files, all words known, sampled over the whole scrub bar."""
+    folder = new_folder(spark, "timelines")
+    R.write_timelines(L.nested(words(spark, sf), table(spark, sf, "clips")), folder)
+    poses = _poses(spark, sf).join(table(spark, sf, "cluster_names"), "cluster_id").select("name", "average_pose")
+    return B.play_stored(R.read_timelines(spark, folder), poses).select("name", "step", "word", check("pose", 3).alias("pose_check"))
+
+
+@query("S4_bucketed_timeline", 'SELECT clip_id, pos, word, cluster_id, start, "end", duration FROM words')
+def _(spark, sf):
+    """The words of clips that are stored in buckets."""
+    name = f"clips_{uuid.uuid4().hex[:12]}"
+    heads, stored = S.write_bucketed(spark, name, table(spark, sf, "clips"), frames(spark, sf), new_folder(spark, name), 8)
+    return L.encode(stored, heads, table(spark, sf, "cluster_names"), IDLE_ID, dealt=True)
+
+
 _FPS = "CASE clip_id % 5 WHEN 0 THEN 25.0 WHEN 1 THEN 30.0 WHEN 2 THEN 29.97 WHEN 3 THEN 25.0 ELSE 5.0 END::DOUBLE"
 
 

@@ -15,16 +15,52 @@ from poseframes import schemas
 from poseframes.params import N_POINTS
 
 
-def write_clips(clips: DataFrame, frames: DataFrame, path: str, mode: str = "append") -> None:
-    """Frames of a clip stay together and in order; Spark commits whole files or none. A frame of
-    another width, or without coordinates or mask, fails the write: a store without it would hold
-    fewer frames than the clip's header says."""
-    clips.select(clips["clip_id"], "label", F.col("fps").cast("float").alias("fps"), "source", "n_frames").write.mode(mode).parquet(f"{path}/clips")
+HEADS, FRAMES = schemas.CLIPS, schemas.FRAMES
+
+
+def write_heads(clips: DataFrame, path: str, mode: str = "append") -> None:
+    """A row for each clip."""
+    clips.select("clip_id", "label", F.col("fps").cast("float").alias("fps"), "source", "n_frames").write.mode(mode).parquet(f"{path}/clips")
+
+
+def _checked(frames: DataFrame) -> DataFrame:
+    """Frames as they are stored. One of another width, or without coordinates or mask, fails the write:
+    a store without it would hold fewer frames than the clip's header says."""
     valid = F.coalesce((F.size("xyz") == 3 * N_POINTS) & (F.size("mask") == N_POINTS), F.lit(False))
     wrong = F.raise_error(F.concat(F.lit(f"not {N_POINTS} points: clip "), F.col("clip_id").cast("string"), F.lit(", frame "), F.col("frame_idx").cast("string")))
     frames = frames.withColumn("xyz", F.when(valid, F.col("xyz")).otherwise(wrong.cast("array<double>")))
-    stored = frames.select("clip_id", "frame_idx", F.col("xyz").cast("array<float>").alias("xyz"), "mask")
-    stored.repartition("clip_id").sortWithinPartitions("clip_id", "frame_idx").write.mode(mode).parquet(f"{path}/frames")
+    return frames.select("clip_id", "frame_idx", F.col("xyz").cast("array<float>").alias("xyz"), "mask")
+
+
+def write_frames(frames: DataFrame, path: str, mode: str = "append") -> None:
+    """Frames of a clip stay together and in order; Spark commits whole files or none."""
+    _checked(frames).repartition("clip_id").sortWithinPartitions("clip_id", "frame_idx").write.mode(mode).parquet(f"{path}/frames")
+
+
+def write_clips(clips: DataFrame, frames: DataFrame, path: str, mode: str = "append") -> None:
+    """Heads and frames of clips."""
+    write_heads(clips.select(clips["clip_id"], "label", "fps", "source", "n_frames"), path, mode)
+    write_frames(frames, path, mode)
+
+
+def _bucketed(columns: str, buckets: int, order: str, path: str) -> str:
+    return f"({columns}) USING parquet CLUSTERED BY (clip_id) SORTED BY ({order}) INTO {buckets} BUCKETS LOCATION '{path}'"
+
+
+def write_bucketed(spark: SparkSession, name: str, clips: DataFrame, clusters: DataFrame, path: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Heads (``clip_id, fps, source, n_frames``) and frames' clusters (``clip_id, frame_idx,
+    cluster_id``) as tables ``{name}_clips`` and ``{name}_frames`` in files bucketed by clip: what
+    works clip by clip then reads them without a shuffle. ``open_bucketed`` gives them again."""
+    for part, df, order in (("clips", clips.select("clip_id", "fps", "source", "n_frames"), ["clip_id"]), ("frames", clusters.select("clip_id", "frame_idx", "cluster_id"), ["clip_id", "frame_idx"])):
+        df.repartition(buckets, "clip_id").write.mode("overwrite").option("path", f"{path}/{part}").bucketBy(buckets, "clip_id").sortBy(*order).saveAsTable(f"{name}_{part}")
+    return spark.table(f"{name}_clips"), spark.table(f"{name}_frames")
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The tables that ``write_bucketed`` left in a folder, for a session that does not know them."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name}_clips {_bucketed('clip_id BIGINT, fps FLOAT, source STRING, n_frames BIGINT', buckets, 'clip_id', f'{path}/clips')}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name}_frames {_bucketed('clip_id BIGINT, frame_idx BIGINT, cluster_id INT', buckets, 'clip_id, frame_idx', f'{path}/frames')}")
+    return spark.table(f"{name}_clips"), spark.table(f"{name}_frames")
 
 
 def read_clips(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from poseframes.operators import timeline as L
+from poseframes.sources import clips as S
 
 GOLDEN = [
     ([0, 0, 1, 1, 1, 2, 1, 1, 0, 0], [(0, 0.0, 0.2), (1, 0.2, 0.8), (0, 0.8, 1.0)]),
@@ -51,3 +52,36 @@ def test_one_shuffle(spark):
     frames = spark.createDataFrame([(c % 9, c, c % 4) for c in range(300)], "clip_id long, frame_idx long, cluster_id int")
     plan = L.pad_idle(L.trim_to_idle(L.segments_of(frames, 0), 0), 0)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1, plan
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 10, 1000])
+def test_pieces_of_long_recordings(spark, piece):
+    rng = random.Random(piece)
+    rows = []
+    for c in range(40):
+        at = rng.randint(0, 5)
+        for _ in range(rng.randint(1, 60)):
+            rows.append((c, at, rng.choice([0, 0, 1, 2, 2, 5])))
+            at += rng.choice([1, 1, 1, 2, 30])  # frames may be missing, whole pieces of them
+    frames = spark.createDataFrame(rows, "clip_id long, frame_idx long, cluster_id int")
+    whole = sorted(L.run_length(L.median_smooth(L.by_clip(frames))).select("clip_id", "start", "end", "cluster_id", "clip_end").collect())
+    assert sorted(L.run_length_in_pieces(frames, piece).select("clip_id", "start", "end", "cluster_id", "clip_end").collect()) == whole
+    assert sorted(L.segments_of(frames, 0, piece=piece).collect()) == sorted(L.segments_of(frames, 0).collect())
+
+
+def test_stored_in_buckets_no_shuffle(spark, tmp_path):
+    rows = [(c % 9, c // 9, c % 4) for c in range(300)]
+    frames = spark.createDataFrame(rows, "clip_id long, frame_idx long, cluster_id int")
+    heads = spark.createDataFrame([(c, 10.0, f"s{c}", 34) for c in range(9)], "clip_id long, fps float, source string, n_frames long")
+    names = spark.createDataFrame([(i, f"w{i}") for i in range(4)], "cluster_id int, name string")
+    path = str(tmp_path / "store")
+    clips, stored = S.write_bucketed(spark, "test_buckets", heads, frames, path, 4)
+    want = sorted(L.encode(frames, heads, names, 0).collect())
+    assert sorted(L.encode(stored, clips, names, 0, dealt=True).collect()) == want
+    other = spark.newSession()
+    spark.sql("DROP TABLE test_buckets_frames")
+    spark.sql("DROP TABLE test_buckets_clips")
+    clips, stored = S.open_bucketed(other, "test_buckets", path, 4)
+    assert sorted(L.encode(stored, clips, other.createDataFrame(names.collect(), names.schema), 0, dealt=True).collect()) == want
+    plan = L.word_times(L.pad_idle(L.trim_to_idle(L.segments_of(stored, 0, True), 0), 0), clips)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "Bucketed: true" in plan, plan
