@@ -13,6 +13,7 @@ from poseframes.params import L_HAND, NOSE, R_HAND
 from poseframes.plans.scratch import new_folder
 from poseframes.plans.views import POINTS, keypoint_frames, raw_landmarks, table, with_views
 from poseframes.sources import clips as S
+from poseframes.sources import files as D
 
 QUERIES, SQL = {}, {}
 
@@ -250,3 +251,14 @@ def _(spark, sf):
     frames = S.parse_npz(S.pack_npz(table(spark, sf, "clips"), keypoint_frames(spark, sf).select("clip_id", "frame_idx", "xyz", "mask")))
     clips = frames.groupBy("source").agg(F.any_value("label").alias("label"), F.any_value("fps").alias("fps")).withColumn("clip_id", F.col("source"))
     return _stored(clips, frames.withColumn("clip_id", F.col("source"))).drop("clip_id")
+
+
+@query("S6_npz_source", f"SELECT label, round(fps, 6) AS fps, source, n_frames, xyz_check, n_ok FROM ({_STORED})", views=["frame_clusters", "clips"])
+def _(spark, sf):
+    """Archives as files, read through a source of their own: heads from headers, frames whole."""
+    folder = new_folder(spark, "npz")
+    D.write_files(S.pack_npz(table(spark, sf, "clips"), keypoint_frames(spark, sf).select("clip_id", "frame_idx", "xyz", "mask")), folder)
+    D.register(spark)
+    heads = spark.read.format("pose_npz").option("headers", True).load(folder).where("error IS NULL").withColumn("clip_id", F.col("source"))
+    frames = spark.read.format("pose_npz").option("partitionBytes", 1 << 20).load(folder).withColumn("clip_id", F.col("source"))
+    return _stored(heads, frames).drop("clip_id")
