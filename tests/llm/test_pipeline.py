@@ -15,6 +15,21 @@ def grams(text):
     return frozenset(zip(w, w[1:], w[2:])) if len(w) > 2 else frozenset([tuple(w)] if w else [])
 
 
+def targets(docs):
+    """Words wanted of each source: weights 3, 1, 2 in turn, 150% in all, none above twice its size."""
+    sizes = {}
+    for name, n in docs.values():
+        sizes[name] = sizes.get(name, 0) + n
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight, out, left, total = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}, {}, set(names), 1.5 * sum(sizes.values())
+    while left:
+        share = {s: (total - sum(out.values())) * weight[s] / sum(weight[x] for x in left) for s in left}
+        full = {s for s in left if share[s] > 2 * sizes[s]}
+        out |= {s: 2 * sizes[s] for s in full} if full else share
+        left = left - full if full else set()
+    return out
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, kept = docs.columns, {}
@@ -67,6 +82,10 @@ def test_stages(spark):
     assert set(mixed) <= set(third) and max(map(mixed.count, mixed)) <= 2
     words = sum(len(t.split()) for t in third.values())
     assert abs(sum(len(third[i].split()) for i in mixed) - 1.5 * words) < 0.5 * words
+    for name, target in targets({i: (source[i]["source"], len(third[i].split())) for i in third}).items():
+        own = [i for i in mixed if source[i]["source"] == name]
+        taken, largest = sum(len(third[i].split()) for i in own), max(len(third[i].split()) for i in third if source[i]["source"] == name)
+        assert abs(taken - target) <= max(2 * largest, 0.1 * target), (name, taken, target)
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     assert sorted((r["doc_id"], r["n_tokens"]) for r in kept["byte_bpe"]) == sorted((i, len(enc.encode_ordinary(third[i]))) for i in mixed)
 

@@ -168,6 +168,28 @@ def test_folded_weights_are_kernel_ridge_regression(monkeypatch):
             assert abs(folded - feature(grams(t)) @ w) < 1e-3
 
 
+def test_presence_is_that_of_plain_grams():
+    def mix(x):
+        x = x * 0x9E3779B97F4A7C15 % 2**64
+        return x ^ x >> 31
+
+    rng = random.Random(16)
+    for text in ("", "123 !", "a", "É b", "Ab-ab 12 ab", "".join(rng.choice("abCé1 .\n") for _ in range(300))):
+        plain = "".join(c if c.isalpha() else " " for c in text.lower())
+        while "  " in plain:
+            plain = plain.replace("  ", " ")
+        slots = set()
+        if plain.strip():
+            # one space may stand at either end
+            for n in L.ORDERS:
+                for i in range(len(plain) - n + 1):
+                    h = 0
+                    for c in plain[i : i + n]:
+                        h = (h * 0x100000001B3 + mix(ord(c) + 1)) % 2**64
+                    slots.add(((h + n) * 0x9E3779B97F4A7C15 % 2**64) >> 48)
+        assert set(np.flatnonzero(L.presence([text])[0]).tolist()) == slots, text
+
+
 def test_presence_of_long_texts(monkeypatch):
     rng = random.Random(15)
     texts = ["".join(rng.choice("abc é1-  ") for _ in range(n)) for n in (0, 3, 50, 400, 2000)] + ["  " * 300 + "ab" + " 1" * 200 + "c", "123"]
