@@ -62,8 +62,9 @@ def systematic_copies(docs: DataFrame, text: str = "text", source: str = "source
 
     Null texts have size 0; null sources are one source, the last; null ids stand first in their
     bucket. Equal rows may swap places, which changes nothing that is returned. A source without
-    words has target 0 and no copies; an empty table gives an empty one. Columns of ``docs`` keep
-    their values whatever their names.
+    words has target 0 and no copies; an empty table gives an empty one. Texts of any length count
+    whole, and a document larger than its source's target is still taken twice at most. Columns of
+    ``docs`` keep their values whatever their names.
     """
     made = ("_size", "_source_size", "_target", "_copies")
     inside = [f"c{i}" for i in range(len(docs.columns))]

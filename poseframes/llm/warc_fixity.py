@@ -101,7 +101,8 @@ def damaged_records(levels: list[DataFrame], replicas: int = 2) -> DataFrame:
 def audit(pages: DataFrame, replica: DataFrame) -> DataFrame:
     """``page_id, file, offset, n_bytes, sha256, damaged`` of every record of ``pages``:
     ``damaged`` if the replica has no equal record in its slot. What the replica has besides is not
-    reported."""
+    reported. Pages of any length are one record each; of a long one only its digest is in the trees.
+    Null pages count as empty, ids may be null or repeated, empty tables give empty ones."""
     both = warc_records(pages).withColumn("replica", F.lit(0)).unionByName(warc_records(replica).withColumn("replica", F.lit(1)))
     both = cut(both, "records")
     slots = damaged_records(fixity_trees(both))
