@@ -8,10 +8,12 @@ many again as e + 1 and a few.
 * Equal sets are one class. Tasks send the hashes of sketches, packed by bucket, and learn which of
   them other classes have. Of a hash that many classes of one task have, only the number travels.
 * Classes whose sketches share a hash are put into groups by the least shared hash and a band of
-  set sizes, cut into blocks of bounded bytes. A group knows its least and greatest size.
-* The token-group matrix has a row for each shared hash and group with a member that has it.
+  set sizes, cut into blocks of bounded bytes.
+* The token-group matrix has a row for each shared hash and group with a member that has it: the
+  least and greatest size of those members, and how far their sketches reach.
 * A class asks only with the rarest of its sketch: of the first e + 1 by how often they were seen,
-  those that any other class has. Most classes ask with none.
+  those that any other class has. Most classes ask with none. It does not ask groups whose sketches
+  all reach less far than its own: of a pair, the one whose sketch reaches less far finds the other.
 * For each class and group found, the overlap of the class's set with the group's union bounds its
   overlap with any member; only groups that qualify are opened, and members are compared whole.
 
@@ -273,7 +275,7 @@ def _links(sets: DataFrame, roles: DataFrame, keys: list[str], percent: int, kin
 
 
 def _candidates(classes: DataFrame, total: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of a table ``rep, tag, n, sketch``: classes that share a hash, ``rep, tag, n, grp, asks``
+    """Of a table ``rep, tag, n, sketch, reach``: classes that share a hash, ``rep, tag, n, grp, asks``
     (whether they ask at all); and which other groups each asks, ``rep, tag, n, grp``."""
     buckets, here = total // BUCKET + 1, HOT_HERE
     kind = classes.schema["rep"].dataType.simpleString()
@@ -285,15 +287,21 @@ def _candidates(classes: DataFrame, total: int, percent: int) -> tuple[DataFrame
     asks = F.greatest(F.lit(0), F.least(first - (held - F.size("shared")), F.size("shared"))).cast("int")
     band = F.floor(F.log(F.col("n").cast("double")) / (2 * math.log(100 / min(percent, 95)))).cast("int")
     tokens = F.col("shared")["token"]
-    some = cut(some.select("rep", "tag", "n", band.alias("band"), F.array_min(tokens).alias("key"), tokens.alias("tokens"), asks.alias("asks")), "shared")
+    some = some.select("rep", "tag", "n", band.alias("band"), F.array_min(tokens).alias("key"), tokens.alias("tokens"), asks.alias("asks"), (held - F.size("shared")).alias("alone"))
+    some = cut(some.join(classes.select("rep", "tag", "reach").hint("merge"), ["rep", "tag"]), "shared")
 
-    blocks = some.groupBy("key", "band").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"), F.min("n").alias("low"), F.max("n").alias("high"))
+    blocks = some.groupBy("key", "band").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
     some = some.join(blocks, ["key", "band"]).withColumn("grp", F.xxhash64("key", "band", F.pmod(F.xxhash64("rep", "tag"), "blocks"))).drop("blocks", "key")
     some = cut(some, "groups")
-    matrix = some.select("grp", "low", "high", F.explode("tokens").alias("token")).distinct()
-    asked = some.where("asks > 0").select("rep", "tag", "n", F.col("grp").alias("own"), F.explode(F.slice("tokens", F.lit(1), F.col("asks"))).alias("token"))
-    # A partner's size is at least so much of the other's, and the group has sizes from low to high.
-    near = (100 * F.col("high") >= percent * F.col("n")) & (percent * F.col("low") <= 100 * F.col("n")) & (F.col("own") != F.col("grp"))
+    # Of a group's members that have the hash: the least and greatest size, and how far a sketch reaches.
+    matrix = some.select("grp", "n", "reach", F.explode("tokens").alias("token")).groupBy("grp", "token").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("far"))
+    asked = some.where("asks > 0").select("rep", "tag", "n", "reach", "alone", F.col("grp").alias("own"), F.posexplode(F.slice("tokens", F.lit(1), F.col("asks"))).alias("nth", "token"))
+    # A partner's size is at least so much of the other's, and it has a hash that both share. What a class
+    # lacks in a partner of size m is at most n - percent (n + m) / (100 + percent), and the rarest hashes
+    # up to that number hold a shared one: larger partners are asked with fewer.
+    near = (100 * F.col("high") >= percent * F.col("n")) & (percent * F.col("low") <= 100 * F.col("n")) & (F.col("own") != F.col("grp")) & (F.col("reach") <= F.col("far"))
+    least = F.greatest("low", F.ceil(percent * F.col("n") / 100))
+    near = near & (F.col("alone") + F.col("nth") <= F.col("n") - F.ceil(percent * (F.col("n") + least) / (100 + percent)))
     asking = asked.join(matrix, (asked["token"] == matrix["token"]) & near).groupBy("rep", "tag", "n", "grp").agg(F.count("*").alias("hits"))
     return some.select("rep", "tag", "n", "grp", (F.col("asks") > 0).alias("asks")), cut(asking, "asking")
 
@@ -334,8 +342,10 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90, text: str
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text).alias("text"))
     sketches = cut(_sketches(rows, k, percent, kind), "sketches")
     total = sketches.agg(F.sum(F.size("sketch").cast("long"))).first()[0] or 0
-    # A class is its least id and a short tag, which tells apart the texts of one id.
-    classes = sketches.where(F.col("digest").isNotNull() & F.col("id").isNotNull()).groupBy("digest").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"))
+    # A class is its least id and a short tag, which tells apart the texts of one id. A sketch reaches to
+    # its largest hash; hashes are unsigned.
+    reach = F.element_at("sketch", -1).bitwiseXOR(F.lit(-(1 << 63)))
+    classes = sketches.where(F.col("digest").isNotNull() & F.col("id").isNotNull()).groupBy("digest").agg(F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value(reach).alias("reach"))
     some, asking = _candidates(classes.withColumn("tag", _tag()), total, percent)
 
     met = some.groupBy("grp").agg(F.count("*").alias("members"), F.max("asks").alias("any"))

@@ -58,6 +58,29 @@ def test_jaccard_equals_all_pairs(spark, monkeypatch, block, here, piece):
     assert got == {i: (len(s), want[i]) for i, s in enumerate(sets)}
 
 
+@pytest.mark.parametrize("block", [1 << 19, 200])
+def test_jaccard_at_the_threshold(spark, monkeypatch, block):
+    """Families of a few texts, links just above and just below the limit, larger and smaller partners."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = random.Random(block)
+    texts = []
+    for f in range(120):
+        n = rng.choice([3, 5, 12, 19, 20, 21, 40, 100, 190, 400])
+        base = [f"f{f}w{i}" for i in range(n + 2)]
+        for _ in range(rng.randint(2, 4)):
+            lost, new = rng.randint(0, n // 9 + 1), rng.randint(0, n // 18 + 1)
+            w = base[: len(base) - lost] if rng.random() < 0.5 else base[lost:]
+            w = w + [f"f{f}n{rng.randint(0, 10**6)}" for _ in range(new)] if rng.random() < 0.7 else w
+            texts.append(" ".join(w))
+    sets = [grams(t) for t in texts]
+    own = [int(t.split("w")[0][1:]) if "w" in t else -1 for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if own[i] == own[j] and sets[i] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])]
+    want = components(len(texts), links)
+    assert len(texts) * 0.3 < len(set(want)) < len(texts) * 0.9
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in J.similar_documents(df).collect()} == dict(enumerate(want))
+
+
 def test_jaccard_repeats_and_no_rows(spark):
     df = spark.createDataFrame([(4, "a b c"), (4, "a b c"), (9, "A b c"), (9, "q r s"), (None, "a b c")], "doc_id int, text string")
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in J.similar_documents(df).collect() if r["doc_id"]) == [(4, 4), (4, 4), (9, 4), (9, 4)]
