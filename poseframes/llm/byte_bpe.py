@@ -15,6 +15,7 @@ import hashlib
 import struct
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
@@ -28,10 +29,10 @@ LEAF_CHARS = 1 << 11
 LEAF_IDS = 1 << 9
 #: Characters beside a seam on which a match may depend besides its own: a contraction has three.
 LOOK = 3
-#: Entries of the memos: packed matches, short stretches of them, neighbours that fit. A full memo is
+#: Entries of the memos: packed matches, short stretches of them, what neighbours encode to. A full memo is
 #: set aside as the older half, from which what is asked for again moves back. Matches of more than
 #: LONGEST characters and stretches of more than SHORT bytes are not kept, so memos are small.
-MEMO, MEMO_PARTS = 60_000, 40_000
+MEMO, MEMO_PARTS = 120_000, 80_000
 LONGEST, SHORT = 48, 8
 #: Bytes of a window up to which neighbours are looked through one by one.
 PLAIN = 128
@@ -46,7 +47,7 @@ class ByteBPE:
         self.ranks = ranks_of(path)
         self.bytes_of = dict(zip(self.ranks.values(), self.ranks, strict=True))
         self.pattern = regex.compile(pattern)
-        self._fits = _Memo(self._fits_anew, MEMO_PARTS)
+        self._joined = _Memo(self._joined_anew, MEMO_PARTS)
         self._short = _Memo(self._by_halves, MEMO_PARTS)
         self._packed = _Memo(self._pack, MEMO)
         self._short.update({bytes([i]): [self.ranks[bytes([i])]] for i in range(256)})
@@ -57,20 +58,19 @@ class ByteBPE:
         if len(data) > PLAIN:
             return self._merge_long(data)
         rank = self.ranks.get
-        parts = [data[i : i + 1] for i in range(len(data))]
+        starts = list(range(len(data) + 1))
         joint = [rank(data[i : i + 2], _NONE) for i in range(len(data) - 1)]
         while joint:
             least = min(joint)
             if least == _NONE:
                 break
             i = joint.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del joint[i]
+            del joint[i], starts[i + 1]
             if i < len(joint):
-                joint[i] = rank(parts[i] + parts[i + 1], _NONE)
+                joint[i] = rank(data[starts[i] : starts[i + 2]], _NONE)
             if i:
-                joint[i - 1] = rank(parts[i - 1] + parts[i], _NONE)
-        return [self.ranks[p] for p in parts]
+                joint[i - 1] = rank(data[starts[i - 1] : starts[i + 1]], _NONE)
+        return [rank(data[a:b]) for a, b in pairwise(starts)]
 
     def _merge_long(self, data: bytes) -> list[int]:
         """The same by a heap of neighbours and a linked list of parts, so that time grows with
@@ -97,23 +97,29 @@ class ByteBPE:
             i = after[i]
         return out
 
-    def _fits_anew(self, pair: int) -> bool:
+    def _joined_anew(self, pair: int) -> list[int] | bool:
+        """What two neighbours encode to; False if they fit."""
         a, b = pair >> 32, pair & 0xFFFFFFFF
-        return self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        ids = self.merge(self.bytes_of[a] + self.bytes_of[b])
+        return ids != [a, b] and ids
 
     def fits(self, a: int, b: int) -> bool:
-        return self._fits[a << 32 | b]
+        return self._joined[a << 32 | b] is False
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of both."""
         if not left or not right:
             return left or right
-        if self.fits(left[-1], right[0]):
+        joined = self._joined
+        window = joined[left[-1] << 32 | right[0]]
+        if window is False:
             return left + right
+        if (len(left) == 1 or joined[left[-2] << 32 | window[0]] is False) and (len(right) == 1 or joined[window[-1] << 32 | right[1]] is False):
+            return left[:-1] + window + right[1:]
         a = b = 1
         while True:
             a, b = min(a, len(left)), min(b, len(right))
-            window = self.merge(b"".join(map(self.bytes_of.__getitem__, left[-a:] + right[:b])))
+            window = self.merge(b"".join(map(self.bytes_of.__getitem__, left[-a:] + right[:b]))) if a + b > 2 else window
             fits_left = a == len(left) or self.fits(left[-a - 1], window[0])
             fits_right = b == len(right) or self.fits(window[-1], right[b])
             if fits_left and fits_right:
@@ -124,7 +130,10 @@ class ByteBPE:
         if len(data) < 2:
             return [self.ranks[data]] if data else []
         half = len(data) // 2
-        return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
+        left, right = data[:half], data[half:]
+        if len(right) > SHORT:
+            return self.join(self.encode_bytes(left), self.encode_bytes(right))
+        return self.join(self._short[left], self._short[right])
 
     def encode_bytes(self, data: bytes) -> list[int]:
         """By halves; those of few bytes are remembered."""

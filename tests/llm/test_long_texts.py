@@ -70,3 +70,14 @@ def test_a_match_of_a_megabyte(seed):
     got = e.encode_match(text)
     assert time.process_time() - began < 20  # four to eight seconds on a busy machine, minutes before
     assert got == e._merge_long(text.encode()) and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 4_000_000
+
+
+def test_no_neighbours_are_merged_twice():
+    import public_tokenizers
+
+    e = B.ByteBPE(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    merge, seen = e.merge, []
+    e.merge = lambda data: seen.append(data) or merge(data)
+    got = e.encode_match("zqxjkvwpyg")
+    assert b"".join(e.bytes_of[i] for i in got) == b"zqxjkvwpyg"
+    assert len(seen) == len(set(seen))
