@@ -213,7 +213,9 @@ _RATE = "CASE doc_id % 5 WHEN 0 THEN 25.0 WHEN 1 THEN 30.0 WHEN 2 THEN 29.97 WHE
 def _(spark, sf):
     """A first run over some of the files, a second over all: list, choose, skip, store, report."""
     media, folder = table(spark, sf, "media_files"), new_folder(spark, "extracted")
-    landmarks = raw_landmarks(spark, sf).join(media.select(F.col("doc_id").alias("clip_id"), "rel_path"), "clip_id").drop("clip_id", "event_id")
+    # paths are joined while a frame is a few numbers
+    of = table(spark, sf, "frame_clusters").join(media.select(F.col("doc_id").alias("clip_id"), "rel_path"), "clip_id")
+    landmarks = raw_landmarks(spark, sf, of).drop("clip_id", "event_id")
     paths, metadata = media.select("rel_path"), table(spark, sf, "metadata")
     for run, limit in ((1, 40), (2, None)):
         attempts = X.extract(X.choose_videos(paths, metadata, limit=limit), landmarks, folder, run)
