@@ -7,8 +7,9 @@ many again as e + 1 and a few.
 
 * Equal sets are one class. Tasks send the hashes of sketches, packed by bucket, and learn which of
   them other classes have. Of a hash that many classes of one task have, only the number travels.
-* Classes whose sketches share a hash are put into groups by the least shared hash and a band of
-  set sizes, cut into blocks of bounded bytes.
+* Classes whose sketches share a hash are put into groups by a shared hash and a band of set sizes,
+  cut into blocks of bounded bytes. It is the least of those that are not rare beside the others, so
+  that an edit, which many copies have in common by chance, does not part a text from its family.
 * The token-group matrix has a row for each shared hash and group with a member that has it: the
   least and greatest size of those members, and how far their sketches reach.
 * A class asks only with the rarest of its sketch: of the first e + 1 by how often they were seen,
@@ -48,6 +49,8 @@ CHUNK, CHUNK_CLASSES = 300_000, 60_000
 #: Hashes for each bucket, and classes of one task from which on a hash is not sent one by one.
 BUCKET, HOT_HERE = 500_000, 64
 _OFTEN = 1 << 15
+#: A hash that is this many times rarer than the middle one of a sketch does not name its group.
+RARE = 2
 #: Classes of one component that ask one group, from which on one of them asks first.
 CROWD = 8
 #: Bytes of text whose words are split in one go, and words whose hashes are remembered.
@@ -287,7 +290,9 @@ def _candidates(classes: DataFrame, total: int, percent: int) -> tuple[DataFrame
     asks = F.greatest(F.lit(0), F.least(first - (held - F.size("shared")), F.size("shared"))).cast("int")
     band = F.floor(F.log(F.col("n").cast("double")) / (2 * math.log(100 / min(percent, 95)))).cast("int")
     tokens = F.col("shared")["token"]
-    some = some.select("rep", "tag", "n", band.alias("band"), F.array_min(tokens).alias("key"), tokens.alias("tokens"), asks.alias("asks"), (held - F.size("shared")).alias("alone"))
+    middle = F.element_at("shared", F.floor(F.size("shared") / 2).cast("int") + 1)["df"]
+    key = F.array_min(F.filter("shared", lambda s: RARE * s["df"] >= middle)["token"])
+    some = some.select("rep", "tag", "n", band.alias("band"), key.alias("key"), tokens.alias("tokens"), asks.alias("asks"), (held - F.size("shared")).alias("alone"))
     some = cut(some.join(classes.select("rep", "tag", "reach").hint("merge"), ["rep", "tag"]), "shared")
 
     blocks = some.groupBy("key", "band").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))

@@ -81,6 +81,28 @@ def test_jaccard_at_the_threshold(spark, monkeypatch, block):
     assert {r["doc_id"]: r["component_id"] for r in J.similar_documents(df).collect()} == dict(enumerate(want))
 
 
+def test_jaccard_family_with_edits_in_common_is_in_few_groups(spark, monkeypatch):
+    """Copies of one text too far from each other to link, with four words for all edits: each asks
+    every other group of the family, so that these must not become more with its size."""
+    tables, write = {}, J.cut
+
+    def kept(df, label):
+        tables[label] = write(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(J, "cut", kept)
+    rng = random.Random(600)
+    texts = []
+    for _ in range(600):
+        w = [f"i{i}" for i in range(150)]
+        for i in rng.sample(range(150), 6):
+            w[i] = f"e{rng.randrange(4)}"
+        texts.append(" ".join(w))
+    found = {r["component_id"] for r in J.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(found) > 200
+    assert tables["groups"].select("grp").distinct().count() <= 8
+
+
 def test_jaccard_repeats_and_no_rows(spark):
     df = spark.createDataFrame([(4, "a b c"), (4, "a b c"), (9, "A b c"), (9, "q r s"), (None, "a b c")], "doc_id int, text string")
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in J.similar_documents(df).collect() if r["doc_id"]) == [(4, 4), (4, 4), (9, 4), (9, 4)]
