@@ -11,7 +11,7 @@ from poseframes.sources import attempts as A
 from poseframes.sources import catalog as C
 from poseframes.sources import clips as S
 from poseframes.sources import results as R
-from poseframes.streaming.ingest import RAW, ingest_new_clips, read_store, stored_clips
+from poseframes.streaming.ingest import RAW, ingest_new_clips, new_frames, read_store, stored_clips
 
 
 def test_catalogue_over_many_lines(spark, tmp_path):
@@ -128,3 +128,17 @@ def test_a_batch_that_runs_again(spark, tmp_path):
         (tmp_path / "marks" / "commits" / name).unlink()
     ingest_new_clips(spark, source, store, marks)
     assert sorted(r["clip_id"] for r in read_store(spark, store).collect()) == [1] * 3 + [2] * 3
+
+
+def test_landmarks_are_not_shuffled(spark):
+    """A frame's rows meet as keypoints, and are dealt out once."""
+    batch = raw(spark, 1, 2).withColumn("_file", F.lit("a"))
+    new = new_frames(batch.unionByName(batch.withColumn("_file", F.lit("b"))), raw(spark, 2).select("clip_id", F.col("idx").alias("frame_idx")))
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression")
+    node = new._jdf.queryExecution().optimizedPlan()
+    while "RepartitionByExpression" not in node.nodeName():
+        node = node.children().apply(0)
+    dealt = [node.output().apply(i).name() for i in range(node.output().size())]
+    assert sorted(dealt) == ["_file", "clip_id", "fps", "frame_idx", "mask", "xyz"]
+    assert sorted((r["clip_id"], r["frame_idx"]) for r in new.collect()) == [(1, 0), (1, 1), (1, 2)]
