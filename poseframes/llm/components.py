@@ -46,21 +46,25 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         least = new
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node of distinct links ``u > v`` that has a lesser neighbour has only one, and is
+    itself the lesser of none."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("id"), F.lit(0).alias("up")))
+    both = (F.sum("up") > 1) | ((F.max("up") == 1) & (F.min("up") == 0))
+    return not ends.groupBy("id").agg(both.alias("both")).agg(F.max("both")).first()[0]
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``id`` and ``component`` (the least id that its links reach) of every id in a link.
 
-    Each round replaces the links of a node by links to its least neighbour; rounds end when none
-    changes anything. A node's least neighbour is a partial aggregate, and the joins that hand it
+    Each round replaces the links of a node by links to its least neighbour; rounds end when each
+    component is a star around its least id. A node's least neighbour is a partial aggregate, and the joins that hand it
     to the neighbours have one row a key on that side, so a node with very many links is split.
     Links to itself, repeated and null ones do not count.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    edges, before = cut(edges.distinct(), "links"), None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before or now[0] == 0:
-            break
-        before = now
+    edges = cut(edges.distinct(), "links")
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -372,6 +372,7 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90, text: str
         component = cut(connected_components(links, "a", "b"), "components")
         crowd = _still_open(open_.where(F.col("asks_here") >= CROWD).select(*asking.columns), some, component)
         open_ = cut(open_.where(F.col("asks_here") < CROWD).unionByName(crowd), "open")
+        links = component.select(F.col("id").alias("a"), F.col("component").alias("b"))  # joins the same
     links = links.unionByName(_turn(open_, some, sets, percent, kind))
 
     # Documents with several texts join the classes of all of them.

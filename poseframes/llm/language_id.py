@@ -30,6 +30,8 @@ LANDMARKS = 200
 RIDGE = 1e-2
 #: Documents that are scored by one product, and characters whose n-grams are taken in one go.
 BLOCK, PIECE = 64, 1 << 19
+#: Slots whose weights are made at once.
+STRIP = 1 << 12
 UNKNOWN = "und"
 #: Below this score even the best classifier plainly denies the text; very short texts stay above it.
 ACCEPT = 0.3
@@ -107,19 +109,31 @@ class Model:
 def _unit(x: np.ndarray) -> np.ndarray:
     """Presence divided by the root of its number of slots."""
     x = x.astype(np.float32)
-    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+    return x
+
+
+def _slots(rows: np.ndarray) -> np.ndarray:
+    """Rows of bytes 0 or 1, from such rows or from their bits."""
+    return rows if rows.shape[1] == SLOTS else np.unpackbits(rows, axis=1)
 
 
 def fit(rows: np.ndarray, labels: list[str]) -> Model:
-    """Nyström features of presence rows and a ridge regression to +1 and -1 for each label."""
+    """Nyström features of presence rows and a ridge regression to +1 and -1 for each label. The rows
+    may be bits, eight slots a byte: BLOCK of them and of the landmarks are spread out at once."""
     languages = tuple(sorted(set(labels)))
     if not languages:
         return Model((), np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32))
     turn: dict[str, int] = {}
     order = sorted(range(len(labels)), key=lambda i: (turn.update({labels[i]: turn.get(labels[i], -1) + 1}) or turn[labels[i]], i))
-    marks = _unit(rows[order[:LANDMARKS]])
-    kernel = np.vstack([_unit(rows[i : i + BLOCK]) @ marks.T for i in range(0, len(labels), BLOCK)]).astype(np.float64)
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    marks = order[:LANDMARKS]
+    kernel = np.empty((len(labels), len(marks)))
+    for j in range(0, len(marks), BLOCK):
+        some = _unit(_slots(rows[marks[j : j + BLOCK]])).T
+        for i in range(0, len(labels), BLOCK):
+            kernel[i : i + BLOCK, j : j + BLOCK] = _unit(_slots(rows[i : i + BLOCK])) @ some
+    some = None
+    values, vectors = np.linalg.eigh(kernel[marks])
     good = values > 1e-6 * values[-1] if values[-1] > 0 else values > 0
     root = vectors[:, good] / np.sqrt(values[good])
     features = np.hstack([kernel @ root, np.ones((len(labels), 1))])
@@ -128,7 +142,12 @@ def fit(rows: np.ndarray, labels: list[str]) -> Model:
     weight = np.sqrt(len(labels) / (len(languages) * np.array([labels.count(x) for x in labels])))[:, None]
     a = features * weight
     found = np.linalg.solve(a.T @ a + RIDGE * np.eye(a.shape[1]), a.T @ (goal * weight))
-    return Model(languages, (marks.T @ (root @ found[:-1])).astype(np.float32), found[-1].astype(np.float32))
+    shares, marks = root @ found[:-1], _slots(rows[marks])
+    size = np.sqrt(np.maximum(marks.sum(1, keepdims=True, dtype=np.float32), 1))
+    weights = np.empty((SLOTS, len(languages)), np.float32)
+    for i in range(0, SLOTS, STRIP):
+        weights[i : i + STRIP] = (marks[:, i : i + STRIP] / size).T @ shares
+    return Model(languages, weights, found[-1].astype(np.float32))
 
 
 def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -175,8 +194,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
 
     kinds = f"id {rows.schema['id'].dataType.simpleString()}, lang string, turn long, slots binary"
     got = chosen.select("id", "lang", "turn", "text").mapInArrow(trimmed(bits), kinds).orderBy("turn", "id", "slots").limit(FIT_ROWS).collect()
-    slots = np.unpackbits(np.frombuffer(b"".join(r["slots"] for r in got), np.uint8).reshape(len(got), -1), axis=1)
-    return fit(slots, [r["lang"] for r in got])
+    return fit(np.frombuffer(b"".join(r["slots"] for r in got), np.uint8).reshape(len(got), -1), [r["lang"] for r in got])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.compute
 import pytest
 
+from poseframes.llm import components as C
 from poseframes.llm import embedding_dedup as E
 from poseframes.llm import jaccard_join as J
 from poseframes.llm.components import connected_components
@@ -202,3 +203,15 @@ def test_components(spark):
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     want = components(600, [(a, b) for a, b in links if b is not None])
     assert got == {i: want[i] for i in {x for a, b in links if b is not None and a != b for x in (a, b)}}
+
+
+def test_stars_end_at_once(spark, monkeypatch):
+    """Links that are stars around the least id need no round, others end as soon as they are."""
+    cuts = []
+    cut = C.cut
+    monkeypatch.setattr(C, "cut", lambda df, label: cuts.append(label) or cut(df, label))
+    run = lambda links: {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert run([(5, 1), (1, 7), (1, 7), (4, 3), (2, 2), (None, 1)]) == {1: 1, 5: 1, 7: 1, 3: 3, 4: 3} and cuts == ["links"]
+    assert run([]) == {} and cuts == ["links"] * 2
+    assert run([(1, 3), (2, 3)]) == {1: 1, 2: 1, 3: 1} and cuts == ["links"] * 3 + ["stars"]
+    assert run([(1, 2), (2, 3)]) == {1: 1, 2: 1, 3: 1}

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -205,3 +206,17 @@ def test_language_keeps_columns_of_any_name(spark):
     assert got.columns == [*df.columns, "p", "q"] and got.first()["score"] == 1.5
     with pytest.raises(ValueError):
         L.identify(df, L.learn(df), keep=("score",))
+
+
+def test_fit_reads_bits_and_keeps_little():
+    """From bits as from bytes, without all of them or the landmarks spread out at once."""
+    rng = np.random.default_rng(3)
+    bits = rng.integers(0, 256, (600, L.SLOTS // 8), np.uint8) & rng.integers(0, 256, (600, L.SLOTS // 8), np.uint8)
+    labels = [("aa", "bb", "cc")[i % 3] for i in range(600)]
+    tracemalloc.start()
+    model = L.fit(bits, labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    plain = L.fit(np.unpackbits(bits, axis=1), labels)
+    assert np.array_equal(model.weights, plain.weights) and np.array_equal(model.bias, plain.bias)
+    assert most < 64 << 20, most
