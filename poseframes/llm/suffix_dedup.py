@@ -142,8 +142,8 @@ def _squeeze(*arrays: np.ndarray) -> bytes:
 
 
 def _planes(x: np.ndarray) -> np.ndarray:
-    """The bytes of numbers, all first ones first."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T)
+    """The bytes of numbers, all first ones first; there may be no numbers."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:

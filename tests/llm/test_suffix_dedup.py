@@ -188,6 +188,18 @@ def test_hot_anchors_equal_brute_force(spark, monkeypatch):
         assert run(spark, rows) == brute(rows)
 
 
+def test_buckets_that_get_claims_alone(spark, monkeypatch):
+    """Of many buckets, as a large corpus has, a short chunk fills few with segments, and its claims go to others as well."""
+    rows = copied()
+    docs = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["key", "text"])
+    sent = [r for b in S._send([docs], 50, 5000, 10**9) for r in b.to_pylist()]
+    assert any(r["n"] == 0 and r["claims"] for r in sent)
+    apart = [m for r in sent for m in S._decide(pa.Table.from_pylist([r]), 10**9).to_pylist()]
+    assert sorted(apart, key=str) == sorted(asked(rows, 10**9, 10**9), key=str)
+    monkeypatch.setattr(S, "HASH_BYTES", 40)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_order_of_suffixes():
     from poseframes.llm.run_length_index import DEPTH, _suffix_order
 
