@@ -132,7 +132,9 @@ def _segments(texts: list[bytes], k: int):
         left = np.repeat(size, parts) - nth * w
         start, size = np.repeat(start, parts) + nth * w, np.minimum(left, w)
     doc = of[start].astype(np.int64)
-    seg = _mix(whole[start] + _mix(whole[start + size - 1] ^ size.astype(np.uint64)) * _A)  # two strings cover it
+    # Two strings cover it. The last is mixed before the size goes in: strings that differ in the last byte alone have hashes
+    # that differ by as much, and in periodic text the size could make up for that.
+    seg = _mix(whole[start] + _mix(_mix(whole[start + size - 1]) ^ size.astype(np.uint64)) * _A)
     first = np.cumsum(sizes) - sizes
     return doc, start - first[doc], size, _mix(least[start]), seg
 

@@ -200,6 +200,14 @@ def test_buckets_that_get_claims_alone(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_segments_of_periodic_text_are_told_apart(spark):
+    """Sizes 25 and 29 differ in the bit in which the last bytes, e and a, do, four bytes apart in a text of period four."""
+    rows = [(1, "the " * 49 + "heintion heintio"), (2, "the " * 50 + "hainea haine"), (3, "the " * 49 + "heintion heintio again")]
+    *_, size, _, seg = S.segments([t.encode() for _, t in rows], 50)
+    assert all(len(set(size[seg == x])) == 1 for x in set(seg.tolist()))
+    assert run(spark, rows) == brute(rows)
+
+
 def test_order_of_suffixes():
     from poseframes.llm.run_length_index import DEPTH, _suffix_order
 
